@@ -5,6 +5,7 @@ from larderlake.functions.columns import (
     money,
     ratio,
     stock_status,
+    total,
     typed,
 )
 from larderlake.functions.keys import surrogate_key
@@ -17,5 +18,6 @@ __all__ = [
     "ratio",
     "stock_status",
     "surrogate_key",
+    "total",
     "typed",
 ]

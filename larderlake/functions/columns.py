@@ -10,28 +10,26 @@ from pyspark.sql import types as T
 DATE_TEXT = "M/d/yyyy"
 
 
-def typed(name: str, to: T.DataType, strict: bool = True) -> Column:
-    """Column ``name`` as type ``to``.
+def typed(name: str, to: T.DataType, strict: bool = True) -> str:
+    """SQL for column ``name`` as type ``to``.
 
     Strict parsing raises on text that does not fit; tolerant parsing gives NULL, which a rule can
     then drop. Dates are read in the source spelling, timestamps in ISO form.
     """
-    c = F.col(name)
+    attempt = "" if strict else "try_"
     if isinstance(to, T.DateType):
-        out = F.to_date(c, DATE_TEXT) if strict else F.try_to_date(c, DATE_TEXT)
+        value = f"{attempt}to_date(`{name}`, '{DATE_TEXT}')"
     elif isinstance(to, T.TimestampType):
-        out = F.to_timestamp(c) if strict else F.try_to_timestamp(c)
-    elif isinstance(to, T.StringType) or strict:
-        out = c.cast(to)
+        value = f"{attempt}to_timestamp(`{name}`)"
     else:
-        out = c.try_cast(to)
-    return out.alias(name)
+        value = f"{attempt}cast(`{name}` AS {to.simpleString()})"
+    return f"{value} AS `{name}`"
 
 
-def conform(df: DataFrame, ddl: str, *carry: Column | str, strict: bool = True) -> DataFrame:
-    """Project ``df`` to the columns and types of a DDL string, then the ``carry`` columns."""
+def conform(df: DataFrame, ddl: str, *carry: str, strict: bool = True) -> DataFrame:
+    """Project ``df`` to the columns and types of a DDL string, then the ``carry`` expressions."""
     fields = T.StructType.fromDDL(ddl).fields
-    return df.select(*[typed(f.name, f.dataType, strict) for f in fields], *carry)
+    return df.selectExpr(*(typed(f.name, f.dataType, strict) for f in fields), *carry)
 
 
 def date_key(date: Column | str) -> Column:
@@ -45,6 +43,16 @@ def money(value: Column) -> Column:
     return F.round(value, 2)
 
 
+def total(amount: Column | str) -> Column:
+    """Exact sum of amounts in whole cents.
+
+    Adding doubles depends on the order of the rows, which on a cluster differs from run to run;
+    adding integer cents does not.
+    """
+    a = F.col(amount) if isinstance(amount, str) else amount
+    return F.sum(F.round(a * 100).cast("long")) / 100
+
+
 def ratio(top: Column, bottom: Column, scale: int = 1) -> Column:
     """``top / bottom * scale`` to two decimals; NULL when the divisor is zero."""
     return F.round(F.try_divide(top, bottom) * scale, 2)

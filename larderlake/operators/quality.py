@@ -7,7 +7,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -22,8 +21,9 @@ class Rule:
     action: str = WARN
 
     @property
-    def passed(self) -> Column:
-        return F.coalesce(F.expr(self.condition), F.lit(False))
+    def passed(self) -> str:
+        """SQL that is TRUE or FALSE, never NULL."""
+        return f"coalesce(({self.condition}), false)"
 
 
 @dataclass(frozen=True)
@@ -53,26 +53,21 @@ def enforce(df: DataFrame, rules: RuleSet) -> DataFrame:
     With a fail rule in the set both kinds become one conditional expression: the optimizer may
     not reorder it, so a bad row aborts the run even when a drop rule would have removed it.
     """
-    drops, fails = rules.having(DROP), rules.having(FAIL)
-    keep = [r.passed for r in drops]
-    if not fails:
-        return df.filter(reduce(Column.__and__, keep)) if keep else df
-    verdict = reduce(Column.__and__, keep, F.lit(True))
-    for rule in fails:
-        message = f"{rules.table}: {rule.name} violated ({rule.condition})"
-        abort = F.raise_error(F.lit(message)).cast("boolean")
-        verdict = F.when(rule.passed, verdict).otherwise(abort)
-    return df.filter(verdict)
+    keep = " AND ".join(r.passed for r in rules.having(DROP)) or "true"
+    for rule in rules.having(FAIL):
+        message = f"{rules.table}: {rule.name} violated ({rule.condition})".replace("'", "\\'")
+        abort = f"cast(raise_error('{message}') AS boolean)"
+        keep = f"CASE WHEN {rule.passed} THEN ({keep}) ELSE {abort} END"
+    return df if keep == "true" else df.filter(keep)
 
 
 def rule_metrics(rules: RuleSet) -> list[Column]:
     """Aggregates of a rule set: total rows, rows kept, and violations per rule."""
-    drops = [r.passed for r in rules.having(DROP)]
-    kept = reduce(Column.__and__, drops) if drops else F.lit(True)
+    kept = " AND ".join(r.passed for r in rules.having(DROP)) or "true"
     return [
         F.count(F.lit(1)).alias("total_rows"),
-        F.count_if(kept).alias("kept_rows"),
-        *(F.count_if(~r.passed).alias(r.name) for r in rules.rules),
+        F.expr(f"count_if({kept})").alias("kept_rows"),
+        *(F.expr(f"count_if(NOT {r.passed})").alias(r.name) for r in rules.rules),
     ]
 
 
@@ -113,7 +108,7 @@ def scorecard(df: DataFrame, rules: RuleSet) -> DataFrame:
     """One row per rule: how many rows passed and failed, of how many. One aggregation pass."""
     sums = df.agg(
         F.count(F.lit(1)).alias("total_rows"),
-        *(F.count_if(r.passed).alias(f"r{i}") for i, r in enumerate(rules.rules)),
+        *(F.expr(f"count_if({r.passed})").alias(f"r{i}") for i, r in enumerate(rules.rules)),
     )
     lines = F.array(
         *(
@@ -137,5 +132,6 @@ def scorecard(df: DataFrame, rules: RuleSet) -> DataFrame:
 
 def violations(df: DataFrame, rules: RuleSet) -> DataFrame:
     """The quarantine side: rows breaking any rule, with the names of the rules they break."""
-    broken = F.array_compact(F.array(*(F.when(~r.passed, r.name) for r in rules.rules)))
+    names = (F.expr(f"CASE WHEN NOT {r.passed} THEN '{r.name}' END") for r in rules.rules)
+    broken = F.array_compact(F.array(*names))
     return df.withColumn("violated_rules", broken).filter(F.size("violated_rules") > 0)

@@ -55,11 +55,12 @@ def hot_timelines(
     """
     spark = feed.sparkSession
     counts = feed.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    largest = counts.agg(F.max("__n")).first()[0]
+    if largest is None or largest <= hot_rows:
+        return None
     hot_path = scratch_dir(spark, "hot-keys")
     counts.filter(F.col("__n") > hot_rows).write.parquet(hot_path)
     hot = spark.read.parquet(hot_path)
-    if hot.isEmpty():
-        return None
     every = F.greatest(F.lit(1), F.floor(F.lit(1000 * hot_rows) / F.col("__n"))).cast("int")
     points = (
         feed.select(*keys, sequence_by)

@@ -1,8 +1,11 @@
-"""Dimensions of the star schema: the current state of silver, under hashed keys."""
+"""Dimensions of the star schema: the current state of silver, under hashed keys.
+
+Like all plans these compute rows; the rules of the table decide which are stored.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larderlake.functions import date_key, surrogate_key
@@ -10,9 +13,10 @@ from larderlake.operators.dedup import dedup
 from larderlake.operators.joins import lookup_join
 from larderlake.operators.scd import scd2_snapshot
 from larderlake.plans.schemas import CUSTOMERS, PRODUCTS, STORES
-from larderlake.plans.silver import accepted
 
-_LOADED = F.current_timestamp().alias("gold_loaded_at")
+
+def _loaded() -> Column:
+    return F.current_timestamp().alias("gold_loaded_at")
 
 
 def _names(ddl: str) -> list[str]:
@@ -38,21 +42,20 @@ def dim_date(calendar: DataFrame) -> DataFrame:
         F.col("year").alias("fiscal_year"),
         F.col("quarter").alias("fiscal_quarter"),
     )
-    keyed = dedup(accepted(days, "dim_date"), ["date_key"])
-    return keyed.select(surrogate_key("dim_date", "date_key").alias("date_sk"), "*", _LOADED)
+    keyed = dedup(days, ["date_key"])
+    return keyed.select(surrogate_key("dim_date", "date_key").alias("date_sk"), "*", _loaded())
 
 
 def dim_region(regions: DataFrame) -> DataFrame:
     rows = regions.select("region_id", "sales_district", "sales_region")
-    keyed = dedup(accepted(rows, "dim_region"), ["region_id"])
-    return keyed.select(surrogate_key("dim_region", "region_id").alias("region_sk"), "*", _LOADED)
+    keyed = dedup(rows, ["region_id"])
+    return keyed.select(surrogate_key("dim_region", "region_id").alias("region_sk"), "*", _loaded())
 
 
 def _versioned(history: DataFrame, table: str, key: str, cols: list[str]) -> DataFrame:
     """Current versions under a key made of natural key and start of the version."""
-    now = accepted(scd2_snapshot(history, *cols), table)
     sk = surrogate_key(table, key, "effective_from").alias(table.replace("dim_", "") + "_sk")
-    return now.select(sk, "*")
+    return scd2_snapshot(history, *cols).select(sk, "*")
 
 
 def stores_keyed(stores: DataFrame) -> DataFrame:
@@ -65,14 +68,14 @@ def dim_store(stores: DataFrame, regions: DataFrame) -> DataFrame:
     placed = lookup_join(
         stores_keyed(stores), regions, "region_id", "region_id", ["sales_district", "sales_region"]
     )
-    return placed.select("*", _LOADED)
+    return placed.select("*", _loaded())
 
 
 def dim_customer(customers: DataFrame) -> DataFrame:
     cols = [*_names(CUSTOMERS), "full_name"]
-    return _versioned(customers, "dim_customer", "customer_id", cols).select("*", _LOADED)
+    return _versioned(customers, "dim_customer", "customer_id", cols).select("*", _loaded())
 
 
 def dim_product(products: DataFrame) -> DataFrame:
     cols = [*_names(PRODUCTS), "margin_pct"]
-    return _versioned(products, "dim_product", "product_id", cols).select("*", _LOADED)
+    return _versioned(products, "dim_product", "product_id", cols).select("*", _loaded())

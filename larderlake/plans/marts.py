@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larderlake.functions import ratio, surrogate_key
+from larderlake.functions import ratio, surrogate_key, total
 from larderlake.operators.joins import Lookup, attach_keys, join_attrs
 
 
@@ -18,15 +18,19 @@ def _any(*cols: str) -> list[Column]:
     return [F.min(c).alias(c) for c in cols]
 
 
-def _sums(*cols: str) -> list[Column]:
+def _counts(*cols: str) -> list[Column]:
     return [F.sum(c).alias(c) for c in cols]
 
 
+def _totals(*cols: str) -> list[Column]:
+    return [total(c).alias(c) for c in cols]
+
+
 def executive_overview(fact: DataFrame) -> DataFrame:
     """Revenue, profit and margin per month."""
     month = ["transaction_year", "transaction_month"]
     totals = fact.groupBy(*month).agg(
-        F.sum("revenue").alias("total_revenue"), F.sum("gross_profit").alias("total_profit")
+        total("revenue").alias("total_revenue"), total("gross_profit").alias("total_profit")
     )
     return totals.select(
         surrogate_key("agg_exec_overview", *month).alias("exec_overview_sk"),
@@ -76,7 +80,7 @@ def orders_per_minute(orders: DataFrame, dim_store: DataFrame) -> DataFrame:
     group = ["store_sk", "order_minute"]
     return (
         keyed.groupBy(*group)
-        .agg(*_any("store_id"), *_sums("orders_per_minute", "total_quantity_per_minute"))
+        .agg(*_any("store_id"), *_counts("orders_per_minute", "total_quantity_per_minute"))
         .select(surrogate_key("agg_orders_per_min", *group).alias("orders_per_min_sk"), "*")
     )
 
@@ -85,7 +89,7 @@ def regional_sales(fact: DataFrame, dim_store: DataFrame) -> DataFrame:
     """Revenue and units per store and month, with the region the row filter reads."""
     month = ["transaction_year", "transaction_month"]
     local = fact.groupBy("store_id", "store_sk", *month).agg(
-        F.sum("revenue").alias("total_store_revenue"), F.sum("quantity").alias("total_items_sold")
+        total("revenue").alias("total_store_revenue"), F.sum("quantity").alias("total_items_sold")
     )
     group = ["store_sk", *month]
     return (
@@ -93,7 +97,8 @@ def regional_sales(fact: DataFrame, dim_store: DataFrame) -> DataFrame:
         .groupBy(*group)
         .agg(
             *_any("region_id", "sales_region", "store_id", "store_name"),
-            *_sums("total_store_revenue", "total_items_sold"),
+            *_totals("total_store_revenue"),
+            *_counts("total_items_sold"),
         )
         .select(surrogate_key("agg_regional_sales", *group).alias("regional_sales_sk"), "*")
     )
@@ -102,8 +107,8 @@ def regional_sales(fact: DataFrame, dim_store: DataFrame) -> DataFrame:
 def customer_ltv(fact: DataFrame, dim_customer: DataFrame) -> DataFrame:
     """Lifetime revenue and profit per customer. ``total_items_purchased`` counts lines."""
     local = fact.groupBy("customer_id", "customer_sk").agg(
-        F.sum("revenue").alias("lifetime_revenue"),
-        F.sum("gross_profit").alias("lifetime_profit"),
+        total("revenue").alias("lifetime_revenue"),
+        total("gross_profit").alias("lifetime_profit"),
         F.count("date_key").alias("total_items_purchased"),
     )
     profile = ["first_name", "last_name", "customer_country", "yearly_income", "member_card"]
@@ -112,7 +117,8 @@ def customer_ltv(fact: DataFrame, dim_customer: DataFrame) -> DataFrame:
         .groupBy("customer_sk")
         .agg(
             *_any("customer_id", *profile),
-            *_sums("lifetime_revenue", "lifetime_profit", "total_items_purchased"),
+            *_totals("lifetime_revenue", "lifetime_profit"),
+            *_counts("total_items_purchased"),
         )
     )
     return totals.select(
@@ -125,14 +131,14 @@ def customer_ltv(fact: DataFrame, dim_customer: DataFrame) -> DataFrame:
 def store_space(fact: DataFrame, dim_store: DataFrame) -> DataFrame:
     """Revenue and profit per square foot of each store."""
     local = fact.groupBy("store_id", "store_sk").agg(
-        F.sum("revenue").alias("total_revenue"), F.sum("gross_profit").alias("total_profit")
+        total("revenue").alias("total_revenue"), total("gross_profit").alias("total_profit")
     )
     totals = (
         join_attrs(local, dim_store, "store_id", "store_sk")
         .groupBy("store_sk")
         .agg(
             *_any("store_id", "store_name", "store_type", "total_sqft", "grocery_sqft"),
-            *_sums("total_revenue", "total_profit"),
+            *_totals("total_revenue", "total_profit"),
         )
     )
     area = F.col("total_sqft")

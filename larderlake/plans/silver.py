@@ -17,7 +17,7 @@ from larderlake.plans import schemas
 from larderlake.plans.rules import RULES
 from larderlake.sources.files import unwrap_json
 
-_ARRIVAL = F.col("ingestion_time").alias("bronze_ingestion_time")
+_ARRIVAL = "ingestion_time AS bronze_ingestion_time"
 
 
 def _stamps(env: str) -> tuple[Column, Column]:
@@ -49,16 +49,14 @@ def cleanse_returns(bronze: DataFrame, env: str, strict: bool = True) -> DataFra
 
 def cleanse_stores(bronze: DataFrame, env: str, strict: bool = True) -> DataFrame:
     """Store master data, ready for type-2 change application."""
-    return conform(
-        bronze, schemas.STORES, _ARRIVAL, F.lit(env).alias("environment"), strict=strict
-    )
+    stores = conform(bronze, schemas.STORES, _ARRIVAL, strict=strict)
+    return stores.withColumn("environment", F.lit(env))
 
 
 def cleanse_regions(bronze: DataFrame, env: str, strict: bool = True) -> DataFrame:
     """Region hierarchy, ready for type-1 change application."""
-    return conform(
-        bronze, schemas.REGIONS, _ARRIVAL, F.lit(env).alias("environment"), strict=strict
-    )
+    regions = conform(bronze, schemas.REGIONS, _ARRIVAL, strict=strict)
+    return regions.withColumn("environment", F.lit(env))
 
 
 def enrich_calendar(bronze: DataFrame, env: str, strict: bool = True) -> DataFrame:

@@ -9,7 +9,14 @@ from larderlake.sources.files import (
 )
 from larderlake.sources.kafka import kafka_options, read_kafka_stream
 from larderlake.sources.scratch import scratch_dir
-from larderlake.sources.tables import append_table, layer_path, read_layer, replace_table, write_table
+from larderlake.sources.tables import (
+    append_table,
+    layer_path,
+    read_layer,
+    replace_table,
+    spread_scan,
+    write_table,
+)
 
 __all__ = [
     "append_table",
@@ -24,6 +31,7 @@ __all__ = [
     "register_bronze",
     "replace_table",
     "scratch_dir",
+    "spread_scan",
     "unwrap_json",
     "with_lineage",
     "write_table",

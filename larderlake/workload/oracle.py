@@ -26,6 +26,11 @@ def _yyyymmdd(col: str) -> str:
     return f"cast(year({col}) * 10000 + month({col}) * 100 + day({col}) as integer)"
 
 
+def _half_up(value: str) -> str:
+    """A double to cents by its decimal digits, halves up, as Spark rounds."""
+    return f"cast(round(cast(cast({value} as varchar) as decimal(38, 12)), 2) as double)"
+
+
 BLOCKS: dict[str, str] = {
     name: text.replace("@K", inputs.JSON_K["duckdb"]).format(**{t: t for t in inputs.TABLES})
     for name, text in inputs.SQL.items()
@@ -80,10 +85,10 @@ BLOCKS |= {
                {_day('birthdate')} as birthdate, {_day('acct_open_date')} as acct_open_date,
                concat_ws(' ', first_name, last_name) as full_name
         from r_customers""",
-    "s_products": """
+    "s_products": f"""
         select * exclude (ingestion_time, recyclable, low_fat), recyclable = 1 as recyclable,
                low_fat = 1 as low_fat,
-               round((product_retail_price - product_cost) / product_retail_price * 100, 2)
+               {_half_up('(product_retail_price - product_cost) / product_retail_price * 100')}
                    as margin_pct
         from r_products where product_retail_price > 0 and product_cost > 0""",
     "s_orders": """
@@ -183,7 +188,7 @@ BLOCKS |= {
                round(sum(revenue), 2) as lifetime_revenue,
                round(sum(gross_profit), 2) as lifetime_profit,
                count(date_key) as total_items_purchased,
-               round(sum(revenue) / count(date_key), 2) as avg_item_value
+               {_half_up('round(sum(revenue), 2) / count(date_key)')} as avg_item_value
         from b_sales f join b_customer c on f.customer_id = c.customer_id
         group by f.customer_sk""",
     "m_stores": """
@@ -380,7 +385,8 @@ CHECKS: dict[str, str] = {
                    as exec_overview_sk, transaction_year, transaction_month,
                round(sum(revenue), 2) as total_revenue,
                round(sum(gross_profit), 2) as total_profit,
-               round(sum(gross_profit) / sum(revenue) * 100, 2) as profit_margin_pct
+               {_half_up('round(sum(gross_profit), 2) / round(sum(revenue), 2) * 100')}
+                   as profit_margin_pct
         from b_sales group by transaction_year, transaction_month""",
     "g9_inventory_alerts": "select * from m_alerts",
     "g10_orders_per_minute": "select * from m_minutes",
@@ -389,8 +395,8 @@ CHECKS: dict[str, str] = {
     "g12_customer_ltv": "select * from m_ltv",
     "g13_store_space": f"""
         select {_key('agg_store_space', 'store_sk')} as store_space_sk, *,
-               round(total_revenue / total_sqft, 2) as revenue_per_sqft,
-               round(total_profit / total_sqft, 2) as profit_per_sqft
+               {_half_up('total_revenue / total_sqft')} as revenue_per_sqft,
+               {_half_up('total_profit / total_sqft')} as profit_per_sqft
         from (select f.store_sk, min(f.store_id) as store_id, min(store_name) as store_name,
                      min(store_type) as store_type, min(total_sqft) as total_sqft,
                      min(grocery_sqft) as grocery_sqft, round(sum(revenue), 2) as total_revenue,

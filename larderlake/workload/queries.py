@@ -23,6 +23,7 @@ from larderlake.operators.quality import (
 from larderlake.plans import dashboards, dims, facts, marts, schemas, silver
 from larderlake.plans.policies import POLICIES
 from larderlake.plans.rules import RULES
+from larderlake.plans.silver import accepted
 from larderlake.session import configure
 from larderlake.sources import (
     decode_json_value,
@@ -89,17 +90,25 @@ def star(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:
         "customer": lambda: dims.dim_customer(inputs.customers(spark, sf_dir)),
         "product": lambda: dims.dim_product(inputs.products(spark, sf_dir)),
     }
-    return {n: build[n]() for n in names}
+    return {n: accepted(build[n](), f"dim_{n}") for n in names}
 
 
 def full_store(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dims.dim_store(inputs.stores(spark, sf_dir), inputs.regions(spark, sf_dir))
+    rows = dims.dim_store(inputs.stores(spark, sf_dir), inputs.regions(spark, sf_dir))
+    return accepted(rows, "dim_store")
+
+
+def measures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales lines with their amounts, no keys."""
+    lines, products = inputs.transactions(spark, sf_dir), inputs.products(spark, sf_dir)
+    return accepted(facts.sales_measures(lines, products), "fact_sales")
 
 
 def sales(spark: SparkSession, sf_dir: str, *names: str) -> DataFrame:
     """Sales facts with the keys of the named dimensions."""
     lines, products = inputs.transactions(spark, sf_dir), inputs.products(spark, sf_dir)
-    return facts.fact_sales(lines, products, star(spark, sf_dir, *names))
+    rows = facts.fact_sales(lines, products, star(spark, sf_dir, *names))
+    return accepted(rows, "fact_sales")
 
 
 def alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -172,10 +181,7 @@ def s11_partitioned_sink(spark, sf_dir):
     """The sales table written partitioned and clustered, then read back one year at a time."""
     path = scratch_dir(spark, "sink")
     layout = schemas.PARTITIONS["fact_sales"], schemas.CLUSTERING["fact_sales"]
-    measures = facts.sales_measures(
-        inputs.transactions(spark, sf_dir), inputs.products(spark, sf_dir)
-    )
-    write_table(measures, path, *layout)
+    write_table(measures(spark, sf_dir), path, *layout)
     stored = spark.read.parquet(path).filter(F.col("transaction_year") >= 1998)
     by_month = stored.groupBy("transaction_year", "transaction_month")
     return result(
@@ -199,7 +205,7 @@ def v2_returns(spark, sf_dir):
 @query
 def v3_stores(spark, sf_dir):
     rows = silver.cleanse_stores(raw(spark, sf_dir, "r_stores"), ENV)
-    return result(silver.accepted(rows, "stores"))
+    return result(accepted(rows, "stores"))
 
 
 @query
@@ -222,14 +228,14 @@ def _documents(rows: DataFrame) -> DataFrame:
 def v6_customers(spark, sf_dir):
     """Customer documents parsed from JSON text."""
     rows = silver.parse_customers(_documents(raw(spark, sf_dir, "r_customers")), ENV)
-    return result(silver.accepted(rows, "customers"))
+    return result(accepted(rows, "customers"))
 
 
 @query
 def v7_products(spark, sf_dir):
     """Product documents parsed from JSON text."""
     rows = silver.parse_products(_documents(raw(spark, sf_dir, "r_products")), ENV)
-    return result(silver.accepted(rows, "products"))
+    return result(accepted(rows, "products"))
 
 
 @query
@@ -405,7 +411,7 @@ def g6_fact_sales(spark, sf_dir):
 def g7_fact_returns(spark, sf_dir):
     d = star(spark, sf_dir, "product", "store", "date")
     lines, products = inputs.returns(spark, sf_dir), inputs.products(spark, sf_dir)
-    return result(facts.fact_returns(lines, products, d))
+    return result(accepted(facts.fact_returns(lines, products, d), "fact_returns"))
 
 
 @query
@@ -427,8 +433,7 @@ def k2_dedup(spark, sf_dir):
 
 @query
 def g8_executive_overview(spark, sf_dir):
-    lines, products = inputs.transactions(spark, sf_dir), inputs.products(spark, sf_dir)
-    mart = marts.executive_overview(facts.sales_measures(lines, products))
+    mart = marts.executive_overview(measures(spark, sf_dir))
     return result(mart, "total_revenue", "total_profit")
 
 
@@ -690,11 +695,12 @@ def a5_errors(spark, sf_dir):
 @query
 def a6_summary(spark, sf_dir):
     """Closing entry, layer summaries and idle layers, without their times of writing."""
+    path = scratch_dir(spark, "audit")
     entries = audit.extract(inputs.pipeline_events(spark, sf_dir), _LAYERS, _RUN)
-    closing = audit.summarise(entries, list(_LAYERS), _RUN)
+    audit.write_audit(entries, f"{path}/audit_logs", _RUN, list(_LAYERS))
     stages = ["pipeline_summary", "pipeline_config", "pipeline_update", "job_complete"]
-    lines = entries.unionByName(closing).filter(F.col("stage").isin(stages))
-    return lines.drop("timestamp")
+    stored = audit.read_run(spark, f"{path}/audit_logs", _RUN)
+    return stored.filter(F.col("stage").isin(stages)).drop("timestamp")
 
 
 @query
@@ -812,7 +818,7 @@ def j2_stream_static(spark, sf_dir):
     stream_static_join(
         silver.normalise_orders(read_table_stream(spark, f"{root}/bronze")),
         lambda: spark.read.parquet(f"{root}/stores"),
-        lambda batch, static: silver.accepted(silver.enrich_orders(batch, static, ENV), "orders"),
+        lambda batch, static: accepted(silver.enrich_orders(batch, static, ENV), "orders"),
         f"{root}/silver",
         checkpoint_dir(root, ENV, "orders"),
     )
