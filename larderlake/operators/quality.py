@@ -47,26 +47,30 @@ class RuleSet:
         return tuple(r for r in self.rules if r.action == action)
 
 
+def _all(rules: tuple[Rule, ...]) -> str:
+    return " AND ".join(f"({r.condition})" for r in rules) or "true"
+
+
 def enforce(df: DataFrame, rules: RuleSet) -> DataFrame:
     """Drop and fail without counting, so that conditions can reach the scan.
 
     With a fail rule in the set both kinds become one conditional expression: the optimizer may
     not reorder it, so a bad row aborts the run even when a drop rule would have removed it.
     """
-    keep = " AND ".join(r.passed for r in rules.having(DROP)) or "true"
+    # A filter lets only TRUE through, so the bare conditions do, and bare ones reach the scan.
+    keep = _all(rules.having(DROP))
     for rule in rules.having(FAIL):
         message = f"{rules.table}: {rule.name} violated ({rule.condition})".replace("'", "\\'")
         abort = f"cast(raise_error('{message}') AS boolean)"
-        keep = f"CASE WHEN {rule.passed} THEN ({keep}) ELSE {abort} END"
+        keep = f"CASE WHEN ({rule.condition}) THEN ({keep}) ELSE {abort} END"
     return df if keep == "true" else df.filter(keep)
 
 
 def rule_metrics(rules: RuleSet) -> list[Column]:
     """Aggregates of a rule set: total rows, rows kept, and violations per rule."""
-    kept = " AND ".join(r.passed for r in rules.having(DROP)) or "true"
     return [
         F.count(F.lit(1)).alias("total_rows"),
-        F.expr(f"count_if({kept})").alias("kept_rows"),
+        F.expr(f"count_if({_all(rules.having(DROP))})").alias("kept_rows"),
         *(F.expr(f"count_if(NOT {r.passed})").alias(r.name) for r in rules.rules),
     ]
 

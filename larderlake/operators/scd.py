@@ -82,14 +82,17 @@ def scd2_history(
     track: Sequence[str],
     order: Sequence[str] | None = None,
     hot_rows: int | None = HOT_ROWS,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Version history of a change feed.
 
-    ``order`` breaks ties between rows of one key and sequence. ``hot_rows=None`` skips the search
-    for hot keys, for feeds known to have none.
+    ``order`` breaks ties between rows of one key and sequence. Hot keys are looked for in
+    ``counted``, by default the feed itself; any superset of its rows that is cheap to scan will
+    do. ``hot_rows=None`` skips the search, for feeds known to have none.
     """
     rows = unique_sequence(feed, keys, sequence_by, order)
-    cuts = hot_timelines(feed, keys, sequence_by, hot_rows) if hot_rows else None
+    looked_at = feed if counted is None else counted
+    cuts = hot_timelines(looked_at, keys, sequence_by, hot_rows) if hot_rows else None
     if cuts is None:
         return _versions(rows, keys, sequence_by, track).drop("__first")
 
@@ -190,7 +193,8 @@ def scd2_merge(
         .select(*log.columns)
         .unionByName(new)
     )
-    redone = scd2_history(replay, keys, sequence_by, track, order, hot_rows)
+    points = log.select(*keys, sequence_by).unionByName(new.select(*keys, sequence_by))
+    redone = scd2_history(replay, keys, sequence_by, track, order, hot_rows, points)
     kept = known.filter(closed_before).select(*history.columns)
     return kept.unionByName(redone.select(*history.columns))
 

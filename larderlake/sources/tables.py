@@ -36,15 +36,16 @@ def write_table(
 ) -> None:
     """Write a table laid out for pruning.
 
-    Rows meet by partition value and leading cluster column, then sort by all of them, so a file
-    covers a narrow range and its row-group statistics skip well. The exchange is a rebalance:
-    Spark merges small pieces and cuts an oversized one at block borders, so neither one hot month
-    nor a mass of equal rows ends up in a single task. ``touched_partitions_only`` replaces only
-    the partitions present in ``df``.
+    Rows meet by partition value (without partitions, by the leading cluster column) and are sorted
+    by the cluster columns, so that row-group statistics skip well and a partition gets as few
+    files as its size allows. The exchange is a rebalance: it needs no pass for sampling, merges
+    small pieces, and cuts an oversized one at block borders, so neither one hot month nor a mass
+    of equal rows ends up in a single task. ``touched_partitions_only`` replaces only the
+    partitions present in ``df``.
     """
-    spread = [*partition_by, *cluster_by[:1]]
-    order = [*partition_by, *cluster_by]
+    spread = [*partition_by] or [*cluster_by[:1]]
     if spread:
+        order = [*partition_by, *cluster_by]
         df = df.hint("rebalance", *spread).sortWithinPartitions(*order)
     writer = df.write.mode(mode)
     if partition_by:
