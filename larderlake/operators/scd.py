@@ -45,6 +45,22 @@ def unique_sequence(
     return latest(feed, [*keys, sequence_by], [], order).select(*feed.columns)
 
 
+def _last_of_sequence(
+    feed: DataFrame, keys: Sequence[str], sequence_by: str, order: Sequence[str] | None
+) -> DataFrame:
+    """What ``unique_sequence`` keeps, found in the window over the key.
+
+    The versions need that window anyway and share its shuffle and its sort. Only for keys small
+    enough for one task: the window sees all copies of a row.
+    """
+    attrs = [c for c in feed.columns if c not in (*keys, sequence_by)]
+    by = dict.fromkeys([sequence_by, *(order or ()), *attrs])
+    timeline = Window.partitionBy(*keys).orderBy(*by)
+    now = F.struct(sequence_by)
+    superseded = now.eqNullSafe(F.lead(now).over(timeline))
+    return feed.withColumn("__old", superseded).filter("NOT __old").drop("__old")
+
+
 def hot_timelines(
     feed: DataFrame, keys: Sequence[str], sequence_by: str, hot_rows: int
 ) -> DataFrame | None:
@@ -90,11 +106,12 @@ def scd2_history(
     ``counted``, by default the feed itself; any superset of its rows that is cheap to scan will
     do. ``hot_rows=None`` skips the search, for feeds known to have none.
     """
-    rows = unique_sequence(feed, keys, sequence_by, order)
     looked_at = feed if counted is None else counted
     cuts = hot_timelines(looked_at, keys, sequence_by, hot_rows) if hot_rows else None
     if cuts is None:
+        rows = _last_of_sequence(feed, keys, sequence_by, order)
         return _versions(rows, keys, sequence_by, track).drop("__first")
+    rows = unique_sequence(feed, keys, sequence_by, order)
 
     # Stretch number: how many cut points lie at or before the row; -1 for keys that are not cut.
     number = F.when(
@@ -119,14 +136,16 @@ def _versions(
     timeline = Window.partitionBy(*within).orderBy(sequence_by)
     so_far = timeline.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     now = _tracked(track)
-    opens = ~now.eqNullSafe(F.lag(now).over(timeline))
-    closes = ~now.eqNullSafe(F.lead(now).over(timeline))
+    neighbours = {
+        "__opens": ~now.eqNullSafe(F.lag(now).over(timeline)),
+        "__closes": ~now.eqNullSafe(F.lead(now).over(timeline)),
+        END: F.lead(sequence_by).over(timeline),
+        "__first": F.min(sequence_by).over(so_far),
+    }
+    start = F.max(F.when(F.col("__opens"), F.col(sequence_by))).over(so_far)
     return (
-        rows.withColumn("__opens", opens)
-        .withColumn("__closes", closes)
-        .withColumn(START, F.max(F.when(F.col("__opens"), F.col(sequence_by))).over(so_far))
-        .withColumn(END, F.lead(sequence_by).over(timeline))
-        .withColumn("__first", F.min(sequence_by).over(so_far))
+        rows.withColumns(neighbours)
+        .withColumn(START, start)
         .filter("__closes")
         .drop("__opens", "__closes")
     )
