@@ -98,3 +98,35 @@ def secure_read(
     if policy.region_col:
         df = row_filter(df, policy.region_col, mapping, viewer)
     return apply_masks(df, policy, viewer)
+
+
+def secure_views(
+    tables: Mapping[str, DataFrame],
+    policies: Mapping[str, TablePolicy],
+    mapping: DataFrame,
+    viewer: Viewer,
+) -> None:
+    """Register what ``viewer`` sees of each table under its name, for SQL in the viewer's session."""
+    for name, df in tables.items():
+        secure_read(df, name, policies, mapping, viewer).createOrReplaceTempView(name)
+
+
+def register_functions(spark: SparkSession, mapping: DataFrame, viewer: Viewer) -> None:
+    """SQL functions of a viewer's session: ``region_filter``, ``mask_pii_string``, ``mask_pii_date``.
+
+    The viewer's regions become a literal list, so the filter can sit in any WHERE clause.
+    """
+    everything = "true" if viewer.privileged else "false"
+    granted = mapping.filter(F.col("user_id") == viewer.user).select("assigned_region").distinct()
+    names = [r[0] for r in granted.collect()]  # the regions of one user
+    listed = ", ".join("'" + n.replace("\\", "\\\\").replace("'", "\\'") + "'" for n in names if n)
+    member = f"coalesce(region_name IN ({listed}), false)" if listed else "false"
+    bodies = {
+        "region_filter(region_name STRING) RETURNS BOOLEAN": f"{everything} OR {member}",
+        "mask_pii_string(value STRING) RETURNS STRING": (
+            f"CASE WHEN {everything} THEN value ELSE '{MASKED_TEXT}' END"
+        ),
+        "mask_pii_date(value DATE) RETURNS DATE": f"CASE WHEN {everything} THEN value END",
+    }
+    for head, body in bodies.items():
+        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {head} RETURN {body}")

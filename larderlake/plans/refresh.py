@@ -158,7 +158,8 @@ def refresh_silver(
             if table in tables:
                 rows, _ = apply_rules(cleanse(bronze(source), env, strict), RULES[table])
                 target, check = layer_path(root, "silver", table), checkpoint_dir(root, env, table)
-                log.flow(table, _counts(run_available_now(rows, target, check), table))
+                by = schemas.PARTITIONS.get(table, ())
+                log.flow(table, _counts(run_available_now(rows, target, check, by), table))
         if "orders" in tables:
             orders = silver.normalise_orders(bronze("bronze_orders_kafka"), strict)
             kept, _ = apply_rules(orders, RULES["orders"])
@@ -183,7 +184,8 @@ def refresh_gold(spark: SparkSession, root: str, years: Sequence[int] | None = N
     """Rebuild dimensions, facts and marts from silver.
 
     Each table is stored before the next reads it, so joins are planned on true sizes. With
-    ``years`` only those partitions of the facts are recomputed and replaced.
+    ``years`` only those partitions of the facts are read, recomputed and replaced; lines are never
+    removed from silver, so no partition empties.
     """
 
     def read(table: str) -> DataFrame:

@@ -11,11 +11,17 @@ from pyspark.sql import SparkSession
 RUNTIME = {
     # Keys and texts hold timestamps as wall-clock strings.
     "spark.sql.session.timeZone": "UTC",
+    # Strict parsing raises on text that does not fit.
+    "spark.sql.ansi.enabled": "true",
     # Re-plan on measured sizes: shrink partitions, split hot ones, drop needless shuffles.
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Split a hot key even where that costs a later shuffle: one endless task costs more.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Rule counts of a stream are summed over its batches; keep the reports of long catch-up runs.
+    "spark.sql.streaming.numRecentProgressUpdates": "10000",
     # A runtime filter from a small join side prunes the large scan.
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
 }

@@ -181,6 +181,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spread_scan(rows, by) if by else rows
 
 
+@lru_cache(maxsize=256)
 def raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the inputs above as a DataFrame."""
     text = SQL[name].replace("@K", JSON_K["spark"])

@@ -7,8 +7,10 @@ from larderlake.operators.governance import (
     Viewer,
     apply_masks,
     load_user_regions,
+    register_functions,
     row_filter,
     secure_read,
+    secure_views,
 )
 from larderlake.plans.policies import POLICIES
 from tests.conftest import day, rows
@@ -77,3 +79,21 @@ def test_secure_read(spark, mart):
     assert secure_read(mart, "agg_regional_sales", POLICIES, grants, viewer).count() == 1
     assert secure_read(mart, "dim_store", POLICIES, grants, viewer).count() == 4  # no row filter
     assert secure_read(mart, "other", POLICIES, grants, viewer) is mart
+
+
+def test_sql_of_a_viewer(spark, mart):
+    grants = load_user_regions(spark, [*GRANTS, ("u_one", "O'Hara")])
+    secure_views({"agg_regional_sales": mart}, POLICIES, grants, Viewer.of("u_west"))
+    assert spark.sql("SELECT count(*) FROM agg_regional_sales").first()[0] == 2
+    text = "SELECT region_filter({0}), mask_pii_string('x'), mask_pii_date(DATE '2024-01-01')"
+
+    def seen(region, *who):
+        register_functions(spark, grants, Viewer.of(*who))
+        return tuple(spark.sql(text.format(region)).first())
+
+    assert seen("'East'", "u_one") == (True, MASKED_TEXT, None)
+    assert seen("'O\\'Hara'", "u_one")[0] is True
+    assert seen("'West'", "u_one")[0] is False
+    assert seen("NULL", "u_one")[0] is False
+    assert seen("'East'", "u_none")[0] is False
+    assert seen("NULL", "u_none", "admins") == (True, "x", day("2024-01-01"))

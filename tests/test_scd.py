@@ -6,6 +6,7 @@ import pytest
 
 from larderlake.operators import scd
 from larderlake.operators.scd import END, START
+from larderlake.streaming import changes
 from larderlake.streaming.changes import ChangeSpec, merge_batch, read_history, rebuild
 from tests.conftest import rows
 
@@ -190,3 +191,23 @@ def test_type_one_target_batch_by_batch(spark, path):
     assert [(r["k"], r["t"]) for r in rows(read_history(spark, path), "k")] == [
         (1, "a"), (2, "c"), (3, "d"),
     ]
+
+
+def test_batch_that_failed_halfway_runs_again(spark, path, monkeypatch):
+    spec = ChangeSpec(**SPEC, buckets=2, hot_rows=None)
+    data = random_feed(5, n=40)
+    merge_batch(feed(spark, *data[:20]), 0, path, spec)
+    write = changes._replace
+
+    def lost(df, target, *partitions):
+        if target.endswith("/history"):
+            raise RuntimeError("lost")
+        write(df, target, *partitions)
+
+    monkeypatch.setattr(changes, "_replace", lost)
+    with pytest.raises(RuntimeError):
+        merge_batch(feed(spark, *data[20:]), 1, path, spec)
+    assert versions(read_history(spark, path)) == expected(data[:20])
+    monkeypatch.setattr(changes, "_replace", write)
+    merge_batch(feed(spark, *data[20:]), 1, path, spec)
+    assert versions(read_history(spark, path)) == expected(data)
