@@ -100,7 +100,9 @@ def refresh_bronze(
 ) -> None:
     """Append new files of the datasets in ``paths`` and new rows of the decoded message streams
     in ``messages`` (table name to stream)."""
-    streams = register_bronze(spark, dict(paths), max_files=max_files) | dict(messages or {})
+    pins = layer_path(root, "schemas", env)
+    files = register_bronze(spark, dict(paths), max_files=max_files, pins=pins)
+    streams = files | dict(messages or {})
     with RunLog(spark, root, "bronze") as log:
         for table, stream in streams.items():
             counted = stream.observe(table, F.count(F.lit(1)).alias("total_rows"))

@@ -1,6 +1,7 @@
 from larderlake.sources.files import (
     decode_json_value,
     infer_csv_schema,
+    pinned_csv_schema,
     read_csv_stream,
     read_table_stream,
     register_bronze,
@@ -24,6 +25,7 @@ __all__ = [
     "infer_csv_schema",
     "kafka_options",
     "layer_path",
+    "pinned_csv_schema",
     "read_csv_stream",
     "read_kafka_stream",
     "read_layer",

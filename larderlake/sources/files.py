@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -19,6 +21,21 @@ def infer_csv_schema(spark: SparkSession, path: str, sampling_ratio: float = 1.0
     return reader.option("samplingRatio", sampling_ratio).csv(path).schema
 
 
+def pinned_csv_schema(spark: SparkSession, path: str, pin: str) -> StructType:
+    """The schema kept at ``pin``; inferred from ``path`` and kept there the first time.
+
+    Later runs neither read the landing zone again nor change a column's type under the stream.
+    """
+    try:
+        return StructType.fromJson(json.loads(spark.read.text(pin, wholetext=True).first()[0]))
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+    schema = infer_csv_schema(spark, path)
+    spark.createDataFrame([(schema.json(),)], "value string").coalesce(1).write.text(pin)
+    return schema
+
+
 def read_csv_stream(
     spark: SparkSession, path: str, schema: StructType, max_files: int | None = None
 ) -> DataFrame:
@@ -73,12 +90,19 @@ def register_bronze(
     csv: Iterable[str] = CSV_DATASETS,
     documents: Iterable[str] = DOCUMENT_DATASETS,
     max_files: int | None = None,
+    pins: str | None = None,
 ) -> dict[str, DataFrame]:
-    """One lazy, lineage-stamped stream per dataset that ``paths`` locates, keyed ``bronze_<name>``."""
+    """One lazy, lineage-stamped stream per dataset that ``paths`` locates, keyed ``bronze_<name>``.
+
+    ``pins`` names a folder that keeps the inferred schemas between runs.
+    """
     streams = {}
     for name in csv:
         if name in paths:
-            schema = infer_csv_schema(spark, paths[name])
+            if pins is None:
+                schema = infer_csv_schema(spark, paths[name])
+            else:
+                schema = pinned_csv_schema(spark, paths[name], f"{pins}/{name}")
             stream = read_csv_stream(spark, paths[name], schema, max_files)
             streams[f"bronze_{name}"] = with_lineage(stream, name)
     for name in documents:

@@ -1,6 +1,7 @@
 """Files, messages and documents into typed columns."""
 
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from larderlake.sources import (
     decode_json_value,
     infer_csv_schema,
     kafka_options,
+    pinned_csv_schema,
     register_bronze,
     unwrap_json,
     with_lineage,
@@ -180,6 +182,20 @@ def test_csv_schema_and_lineage(spark, path):
     assert row.source_file.endswith("/a.csv") and row.source_name == "regions"
 
 
+def test_schema_is_inferred_once(spark, path):
+    def drop(name, text):
+        with open(f"{path}/in/{name}.csv", "w") as f:
+            f.write("a,b\n" + text)
+
+    os.makedirs(f"{path}/in")
+    drop("one", "1,x\n")
+    first = pinned_csv_schema(spark, f"{path}/in", f"{path}/pin")
+    assert first.simpleString() == "struct<a:int,b:string>"
+    drop("two", "text,y\n")
+    assert pinned_csv_schema(spark, f"{path}/in", f"{path}/pin") == first
+    assert infer_csv_schema(spark, f"{path}/in").simpleString() == "struct<a:string,b:string>"
+
+
 def test_one_stream_per_dataset(spark, path):
     for name in ("regions", "stores"):
         (spark.range(1).write.option("header", True).csv(f"{path}/{name}"))
