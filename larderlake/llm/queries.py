@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larderlake.llm import pii
+from larderlake.llm import credentials, decontaminate, pii
 from larderlake.llm.spans import joined, of_kind
+from larderlake.llm.tables import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -16,7 +17,13 @@ ORACLE: dict[str, str] = {}
 
 
 def query(fn: Query) -> Query:
-    QUERIES[fn.__name__] = fn
+    """Register a query under its function name."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return fn(ship(spark), sf_dir)
+
+    run.__name__, run.__doc__ = fn.__name__, fn.__doc__
+    QUERIES[fn.__name__] = run
     return fn
 
 
@@ -36,6 +43,92 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+@query
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that stand in a window of the benchmark."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.find_leaks(docs, read(spark, sf_dir, "benchmark"))
+    leaks = F.col("leaks")
+    return found.select(
+        "doc_id",
+        leaks["n_words"].alias("n_words"),
+        leaks["n_hit"].alias("n_hit"),
+        F.size(leaks["items"]).cast("long").alias("n_items"),
+        F.sha2(F.array_join(F.array_sort(leaks["items"]), ","), 256).alias("items_sha256"),
+        (leaks["n_hit"] > 0).alias("contaminated"),
+    )
+
+
+ORACLE["op1_decontaminate"] = f"""
+    with doc as (select doc_id, {{words}} w from documents),
+    item as (select cast(item_id as varchar) item, {{words}} w from benchmark),
+    item_win as (select distinct item, least(len(w), {decontaminate.WINDOW}) n,
+        array_to_string(w[i:i + least(len(w), {decontaminate.WINDOW}) - 1], ' ') k
+        from item, unnest(range(1, greatest(len(w) - {decontaminate.WINDOW}, 0) + 2)) u(i) where len(w) > 0),
+    lengths as (select distinct n from item_win),
+    doc_win as (select doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') k
+        from doc, lengths, unnest(range(1, greatest(len(w) - n + 1, 0) + 1)) u(i)),
+    hit as (select doc_id, item, d.n, i from doc_win d join item_win using (n, k)),
+    pos as (select doc_id, count(distinct p) n_hit from (select doc_id, unnest(range(i, i + n)) p from hit) group by 1),
+    items as (select doc_id, count(*) n_items, string_agg(item, ',' order by item) s
+        from (select distinct doc_id, item from hit) group by 1)
+    select doc_id, cast(len(w) as bigint) n_words, coalesce(n_hit, 0) n_hit, coalesce(n_items, 0) n_items,
+      sha256(coalesce(s, '')) items_sha256, n_hit is not null contaminated
+    from doc left join pos using (doc_id) left join items using (doc_id)
+""".replace(
+    "{words}",
+    r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')",
+)
+
+
+@query
+def op2_credentials(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts of credentials in every document."""
+    found = credentials.find_secrets(read(spark, sf_dir, "documents"))
+    spans = F.col("spans")
+    return found.select(
+        "doc_id",
+        *(F.size(of_kind(spans, k)).cast("long").alias(f"n_{k}") for k in credentials.BASE),
+        F.sha2(joined(of_kind(spans, *credentials.BASE)), 256).alias("base_sha256"),
+        joined(spans).alias("spans"),
+    )
+
+
+def _credentials_sql() -> str:
+    pattern = {k: p.replace("'", "''") for k, p in credentials.PATTERNS.items()}
+    pattern["blob"] = "[A-Za-z0-9+/_=-]{20,}"
+    ok = {
+        "assign": f"length(regexp_extract(x.found, '{pattern['assign']}', 2)) >= {credentials.MIN_VALUE}",
+        "access": f"length(x.found) >= {credentials.MIN_ACCESS}",
+        "hex": "true",
+        "user": f"length(regexp_extract(x.found, '{pattern['user']}', 2)) >= {credentials.MIN_USER}",
+        "blob": "regexp_matches(x.found, '[0-9]') and regexp_matches(x.found, '[A-Z]') and regexp_matches(x.found, '[a-z]')",
+        "endpoint": "true",
+    }
+    parts = "\nunion all by name\n".join(
+        f"""select doc_id, '{k}' kind, {i} rank, '{credentials.ROLE[k]}' role, {str(k in credentials.BASE).lower()} strong,
+        x.s s, x.s + length(x.found) e from (select doc_id, unnest({sql_matches("t", pattern[k], k)}) x from texts) where {ok[k]}"""
+        for i, k in enumerate(pattern)
+    )
+    show = "coalesce(string_agg(kind || ':' || s || ':' || e, ',' order by s, rank){}, '')"
+    return f"""
+    with texts as (select doc_id, coalesce(text, '') t from documents),
+    raw as ({parts}),
+    part as (select * from raw a where kind <> 'blob' or not exists (
+        select 1 from raw b where b.doc_id = a.doc_id and b.strong and b.s < a.e and a.s < b.e)),
+    near as (select a.doc_id, a.kind, a.s from part a join part b on a.doc_id = b.doc_id and a.role <> b.role
+        and b.s - a.e <= {credentials.REACH} and a.s - b.e <= {credentials.REACH} where not a.strong
+        group by all having bool_or(b.strong) or count(distinct b.role) >= 2),
+    span as (select * from part where strong or (doc_id, kind, s) in (select (doc_id, kind, s) from near))
+    select doc_id, {", ".join(f"count(*) filter (where kind = '{k}') n_{k}" for k in credentials.BASE)},
+      sha256({show.format(" filter (where strong)")}) base_sha256, {show.format("")} spans
+    from texts left join span using (doc_id) group by doc_id"""
+
+
+ORACLE["op2_credentials"] = _credentials_sql()
+
+
 @query
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document."""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,17 @@ def shared_folder(spark: SparkSession) -> str:
     return (shared or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch").rstrip("/")
 
 
+def ship(spark: SparkSession) -> SparkSession:
+    """Let Python workers find this package where the driver does, also if it isn't installed."""
+    import larderlake
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(larderlake.__file__)))
+    paths = spark.sparkContext.environment.get("PYTHONPATH", os.environ.get("PYTHONPATH", "")).split(os.pathsep)
+    if root not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(p for p in (root, *paths) if p)
+    return spark
+
+
 def keep(df: DataFrame, label: str) -> DataFrame:
     """Write a table to the shared folder and read it back: computed once, safe from lost executors."""
     spark = df.sparkSession
