@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larderlake.llm import credentials, decontaminate, pii
+from larderlake.llm import credentials, decontaminate, near_dedup, pii
 from larderlake.llm.spans import joined, of_kind
 from larderlake.llm.tables import ship
 
@@ -194,3 +194,26 @@ def _pii_sql() -> str:
 
 
 ORACLE["op9_pii"] = _pii_sql()
+
+
+@query
+def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of near copies among all documents."""
+    return near_dedup.link_components(read(spark, sf_dir, "documents"))
+
+
+ORACLE["op10_near_dedup"] = f"""
+    with recursive doc as (select doc_id, regexp_extract_all(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') w from documents),
+    shingle as (select distinct doc_id, array_to_string(w[i:i + 4], ' ') s
+        from doc, unnest(range(1, greatest(len(w) - 4, 1) + 1)) u(i) where len(w) > 0),
+    size as (select doc_id, count(*) n from shingle group by 1),
+    common as (select a.doc_id a, b.doc_id b, count(*) c from shingle a join shingle b on a.s = b.s and a.doc_id < b.doc_id
+        group by 1, 2),
+    link as (select a, b from common join size x on x.doc_id = a join size y on y.doc_id = b
+        where 100 * c >= {near_dedup.PERCENT} * (x.n + y.n - c)),
+    edge as (select a, b from link union all select b, a from link),
+    reach as (select doc_id a, doc_id b from documents union select r.a, e.b from reach r join edge e on r.b = e.a)
+    select doc_id, coalesce(n, 0) n_shingles, min(r.b) component_id, doc_id = min(r.b) kept
+    from documents d join reach r on r.a = d.doc_id left join size using (doc_id) group by doc_id, n
+"""
