@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from larderlake.llm.tables import connected_components, empty_or_null, keep
+from larderlake.llm.tables import connected_components, empty_or_null, keep, repeated
 from larderlake.llm.words import VISIBLE, hashed_words, mix, windows
 
 SHINGLE = 5
@@ -243,7 +243,7 @@ def link_components(docs: DataFrame, percent: int = PERCENT, id: str = "doc_id",
     nothing: null component, kept. Other columns are not read.
     """
     texts = docs.select(docs[f"`{id}`"].cast("long").alias("id"), empty_or_null(docs[f"`{text}`"]).alias("text"))
-    if _repeated(docs, id):
+    if repeated(docs, id):
         texts = texts.distinct()
     found = keep(features(texts, percent), "features")
     usable = found.where("id is not null and n > 0")
@@ -286,11 +286,6 @@ def _equal(left: DataFrame, right: DataFrame, *names: str) -> Column:
     return reduce(Column.__and__, (left[n] == right[n] for n in names))
 
 
-def _repeated(docs: DataFrame, id: str) -> bool:
-    """Whether any two rows share an id or have none."""
-    return not docs.groupBy(docs[f"`{id}`"].alias("id")).count().where("count > 1").isEmpty()
-
-
 def drop_near_copies(docs: DataFrame, percent: int = PERCENT, id: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents that stay: one of each component, columns as they were.
 
@@ -298,7 +293,7 @@ def drop_near_copies(docs: DataFrame, percent: int = PERCENT, id: str = "doc_id"
     """
     gone = link_components(docs, percent, id, text).where("not kept").select(F.col(id).alias("gone")).distinct()
     stay = docs.join(keep(gone, "gone"), docs[f"`{id}`"] == F.col("gone"), "left_anti")
-    if not _repeated(docs, id):
+    if not repeated(docs, id):
         return stay
     named = stay.where(stay[f"`{id}`"].isNotNull()).dropDuplicates([id])
     return named.unionByName(stay.where(stay[f"`{id}`"].isNull()))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larderlake.llm import credentials, decontaminate, near_dedup, pii
+from larderlake.llm import credentials, decontaminate, mixing, near_dedup, pii
 from larderlake.llm.spans import joined, of_kind
 from larderlake.llm.tables import ship
 
@@ -129,6 +129,13 @@ def _credentials_sql() -> str:
 ORACLE["op2_credentials"] = _credentials_sql()
 
 
+@query
+def op5_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words a mix to target weights takes of every document."""
+    taken = mixing.mix(read(spark, sf_dir, "documents"))
+    return taken.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
 @query
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document."""

@@ -51,6 +51,11 @@ def empty_or_null(text):
     return F.coalesce(text, F.lit(""))
 
 
+def repeated(docs: DataFrame, id: str) -> bool:
+    """Whether any two rows share an id or have none."""
+    return not docs.groupBy(docs[f"`{id}`"].alias("id")).count().where("count > 1").isEmpty()
+
+
 def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component) for every node of the undirected links; a component is named by its least node.
 
