@@ -7,9 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larderlake.llm import credentials, decontaminate, mixing, near_dedup, pii
+from larderlake.llm import credentials, decontaminate, mixing, near_dedup, pii, url_filter
 from larderlake.llm.spans import joined, of_kind
 from larderlake.llm.tables import ship
+from larderlake.llm.url_filter import Rule
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -136,6 +137,41 @@ def op5_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taken.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+#: Rules for pages.
+URL_RULES = [
+    Rule("block", "net", "/"),
+    Rule("allow", "example.net", "/en/"),
+    Rule("block", "example.com", "/de/"),
+    Rule("allow", "org", "/fr/"),
+]
+
+
+@query
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The verdict on every page."""
+    return url_filter.judge(read(spark, sf_dir, "pages"), url_filter.rule_table(spark, URL_RULES))
+
+
+#: The test pages declare no redirects and canonical links; equal normal forms are all aliases there.
+ORACLE["op6_url_filter"] = f"""
+    with rules(verdict, rhost, rpath) as (values {", ".join(str(tuple(r)) for r in URL_RULES)}),
+    split as (select page_id, url, coalesce(case when contains(url, '://') then substr(url, instr(url, '://') + 3) end, '') rest
+        from pages),
+    part as (select page_id, url, translate(regexp_extract(rest, '^([^/?#]*)', 1), '{url_filter.UPPER}', '{url_filter.LOWER}') host,
+        regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) path from split),
+    form as (select *, case when contains(url, '://') then
+        regexp_replace(regexp_replace(host, ':(80|443)$', ''), '^www\\.', '') || regexp_replace(path, '/+$', '')
+        || regexp_replace(regexp_extract(regexp_replace(url, '(?i)([?&])(?:utm_[a-z]+|gclid|fbclid|mc_[a-z]+)=[^&#]*&?', '\\1', 'g'),
+            '^[^?#]*(\\?[^#]*)', 1), '[?&]+$', '') else url end node from part),
+    ruled as (select f.*, (select max(struct_pack(n := length(rhost || rpath), h := length(rhost), r := rhost || rpath, v := verdict))
+        from rules where (host = rhost or ends_with(host, '.' || rhost)) and starts_with(path, rpath)) best from form f),
+    node as (select node, bool_or(best.v = 'allow') ok from ruled where best is not null group by 1)
+    select page_id, host, path, best.r as rule,
+      coalesce(best.v, case when ok = false then 'block' else 'allow' end) verdict
+    from ruled left join node using (node)
+"""
+
+
 @query
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document."""

@@ -68,7 +68,7 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
     links = links.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a is not null and b is not null and a <> b")
     stars = keep(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
     mark = _fingerprint(stars)
-    while True:
+    while mark[0]:
         stars = keep(_small_star(_large_star(stars)), "links")
         before, mark = mark, _fingerprint(stars)
         if before == mark:
