@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from larderlake.llm.tables import connected_components, empty_or_null, keep, repeated
+from larderlake.llm.tables import checked, connected_components, empty_or_null, keep, repeated
 from larderlake.llm.words import VISIBLE, hashed_words, mix, windows
 
 SHINGLE = 5
@@ -254,6 +254,7 @@ def link_components(docs: DataFrame, percent: int = PERCENT, id: str = "doc_id",
     regions, pairs = forest(signatures)
     regions, pairs = keep(regions, "regions"), keep(_ordered(pairs), "pairs")
     involved = regions.select("id").unionByName(pairs.select(F.explode(F.array("a", "b")).alias("id"))).distinct()
+    involved = checked(keep(involved, "involved"))
     sets = keep(_set_table(texts.join(involved, "id", "left_semi")), "sets")
 
     first = _ordered(pairs.unionByName(_neighbours(regions, signatures)))
@@ -292,7 +293,7 @@ def drop_near_copies(docs: DataFrame, percent: int = PERCENT, id: str = "doc_id"
     Of rows that repeat an id one stays; rows without id all stay.
     """
     gone = link_components(docs, percent, id, text).where("not kept").select(F.col(id).alias("gone")).distinct()
-    stay = docs.join(keep(gone, "gone"), docs[f"`{id}`"] == F.col("gone"), "left_anti")
+    stay = docs.join(checked(keep(gone, "gone")), docs[f"`{id}`"] == F.col("gone"), "left_anti")
     if not repeated(docs, id):
         return stay
     named = stay.where(stay[f"`{id}`"].isNotNull()).dropDuplicates([id])

@@ -2,12 +2,24 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larderlake.llm import credentials, decontaminate, mixing, near_dedup, pii, url_filter
+from larderlake.llm import (
+    credentials,
+    decontaminate,
+    language,
+    lm_difference,
+    mixing,
+    near_dedup,
+    pii,
+    search,
+    token_lengths,
+    url_filter,
+)
 from larderlake.llm.spans import joined, of_kind
 from larderlake.llm.tables import ship
 from larderlake.llm.url_filter import Rule
@@ -130,6 +142,44 @@ def _credentials_sql() -> str:
 ORACLE["op2_credentials"] = _credentials_sql()
 
 
+#: Every document whose id is divisible by this asks for its likes.
+QUERY_EVERY = 100
+TOP = 10
+
+
+@query
+def op3_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best matches of every hundredth document among all documents."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return search.top_k(docs, docs.where(F.col("doc_id") % QUERY_EVERY == 0), TOP)
+
+
+ORACLE["op3_top_k"] = f"""
+    with doc as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') w from documents),
+    tf as (select doc_id, t, count(*)::double f from (select doc_id, unnest(w) t from doc) group by 1, 2),
+    len as (select doc_id, len(w)::double dl from doc),
+    total as (select count(*) n, avg(dl) mean from len),
+    idf as (select t, ln(1 + (any_value(n) - count(*) + 0.5) / (count(*) + 0.5)) idf from tf, total group by t),
+    impact as (select tf.doc_id, t, cast(round(1e6 * idf * (f * ({search.K1} + 1))
+        / (f + {search.K1} * (1 - {search.B} + {search.B} * dl / mean))) as bigint) v
+        from tf join idf using (t) join len using (doc_id), total),
+    score as (select q.doc_id query, i.doc_id, sum(v)::bigint s from tf q join impact i using (t)
+        where q.doc_id % {QUERY_EVERY} = 0 group by 1, 2),
+    ranked as (select *, row_number() over (partition by query order by s desc, doc_id) r from score)
+    select query, cast(r as int) rank, doc_id, s / 1e6 score from ranked where r <= {TOP}
+"""
+
+
+@query
+def op4_lm_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How much more like texts of good quality every document is than like all texts."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    good = read(spark, sf_dir, "labels").where("quality = 1")
+    found = lm_difference.score(docs, lm_difference.learn(docs, good))
+    return found.select("doc_id", F.col("lm.tokens").alias("tokens"), F.col("lm.difference").alias("difference"))
+
+
 @query
 def op5_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words a mix to target weights takes of every document."""
@@ -172,6 +222,36 @@ ORACLE["op6_url_filter"] = f"""
 """
 
 
+def held_out(id: str = "doc_id"):
+    return F.crc32(F.col(id).cast("string")) % 4 == 2
+
+
+@query
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document."""
+    docs = read(spark, sf_dir, "documents")
+    model = language.learn(docs.where(~held_out()))
+    found = language.identify(docs.select("doc_id", "text"), model)
+    return found.select(
+        "doc_id",
+        held_out().alias("held_out"),
+        F.col("language.lang").alias("lang_pred"),
+        F.col("language.score").alias("score"),
+        F.col("language.rejected").alias("rejected"),
+    )
+
+
+#: Where the public vocabulary files are; a parameter, as they are no part of this repository.
+VOCABULARY = os.environ.get("TOKENIZER_VOCABULARY", "/opt/tokenizers/byte_bpe_multi_50k.tiktoken")
+
+
+@query
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many documents have how many tokens, and what each context limit leaves of them."""
+    docs = read(spark, sf_dir, "documents")
+    return token_lengths.histogram(token_lengths.encoded_lengths(docs, token_lengths.read_vocabulary(VOCABULARY)))
+
+
 @query
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document."""

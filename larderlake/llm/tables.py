@@ -56,6 +56,11 @@ def repeated(docs: DataFrame, id: str) -> bool:
     return not docs.groupBy(docs[f"`{id}`"].alias("id")).count().where("count > 1").isEmpty()
 
 
+def checked(small: DataFrame, most: int = 1_000_000) -> DataFrame:
+    """Marks a narrow table for broadcast if it has at most so many rows; else joins shuffle as usual."""
+    return F.broadcast(small) if small.count() <= most else small
+
+
 def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component) for every node of the undirected links; a component is named by its least node.
 
