@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from larderlake.llm import (
     credentials,
     decontaminate,
@@ -340,3 +341,13 @@ ORACLE["op10_near_dedup"] = f"""
     select doc_id, coalesce(n, 0) n_shingles, min(r.b) component_id, doc_id = min(r.b) kept
     from documents d join reach r on r.a = d.doc_id left join size using (doc_id) group by doc_id, n
 """
+
+
+@query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The training corpus that all stages together make of the documents."""
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+if corpus_pipeline.ORACLE_SQL:
+    ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
