@@ -1,55 +1,58 @@
 """Near duplicates by an LSH forest over MinHash signatures, confirmed on whole shingle sets.
 
-Every text's set of five-word shingles gets a signature of TREES * DEPTH MinHash values. A tree of
-the forest is one order of the signatures: it starts at its own place and goes round. Texts that
-share a prefix of DEPTH values in a tree form a region. A region of more than REGION texts is cut
-by longer prefixes until its parts are small (adaptive depth); what agrees in the longest prefix and
-is still large is cut into blocks that one leader holds together.
+Every text's set of five-word shingles gets a signature of VALUES MinHash values. A tree of the
+forest is one order of these values; texts that share a prefix of DEPTH values in a tree form a
+region. Texts of regions with more than REGION texts get longer prefixes (adaptive depth) and, as a
+longer prefix is shared less often, so many more orders that similar texts still meet; what the
+longest prefix leaves too large is cut into blocks that a leader holds together.
 
 1. Equal sets fall into classes first; from here on a class is one text.
-2. Longest-common-prefix neighbours of the first trees, and regions of two of all trees, are
-   compared on their whole sets. Links give components.
-3. Within every region of every tree, texts of different components whose signatures agree enough
-   are compared: first each text's best partner in each other component, then all that are left.
-
-Nothing is compared twice or within a component, so groups of thousands of near copies cost as many
-comparisons as they have texts. Two texts with similarity 0.85 miss each other in all 24 trees with
-probability (1 - 0.85**5)**24 < 1e-6.
+2. The texts of each region of the first orders are compared on their whole sets, all at once in a
+   task that holds the region; so are pairs that stand alone in any order, if their signatures agree
+   enough. Links give components.
+3. Regions of the other orders are compared if they hold texts of different components.
+
+A region leaves one link per text at most, and no pairs travel: groups of thousands of near copies
+cost as many rows as they have texts. Two texts with similarity 0.85 miss each other in all of the
+24 orders of the first depth with probability (1 - 0.85**5)**24 < 1e-6.
 """
 
 from __future__ import annotations
 
+import math
+import random
 from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larderlake.llm.tables import checked, connected_components, empty_or_null, keep, repeated
+from larderlake.llm.tables import checked, connected_components, empty_or_null, keep, merge_components, repeated
 from larderlake.llm.words import VISIBLE, hashed_words, mix, windows
 
 SHINGLE = 5
 #: Link texts with 100 * intersection >= PERCENT * union.
 PERCENT = 85
 TREES, DEPTH = 24, 5
-#: Longer prefixes for regions of more than REGION texts.
+#: Longer prefixes for texts in regions of more than REGION texts.
 DEEPER = (8, 11, 15)
-REGION = 512
-#: Trees whose neighbours are compared in the first step.
-FIRST_TREES = 4
-#: Values of two signatures that must agree before whole sets are compared: of 120, 102 agree on the
-#: average at similarity 0.85, with a deviation of 3.9.
-MIN_AGREE = 80
+REGION = 1024
+#: Probability, about, that similar texts meet in no order of a deeper level.
+MISS = 1e-6
+#: Orders of each depth whose regions are all compared.
+FIRST = 3
+#: Deviations below the average by which a pair's agreeing values may fall short before its sets are
+#: compared: a similar pair is left out with a probability under 1e-7.
+SHORT = 5.5
 
 VALUES = TREES * DEPTH
-#: A signature repeats its first values at the end, so that the last trees can go round.
-STORED = VALUES + DEEPER[-1]
 _ADD = mix(np.arange(1, VALUES + 1, dtype=np.uint64)).astype(np.uint32)
 _FACTOR = mix(np.arange(1, VALUES + 1, dtype=np.uint64) + np.uint64(1 << 40)).astype(np.uint32) | np.uint32(1)
 _STEP = 1024
+#: Shingles of a region that are looked at together.
+_COLUMNS = 8192
 
 
 def _sets(texts: pa.Array) -> Iterator[np.ndarray]:
@@ -72,7 +75,7 @@ def _signature(found: np.ndarray) -> np.ndarray:
     out = np.full(VALUES, 0xFFFFFFFF, dtype=np.uint32)
     for i in range(0, len(x), _STEP):
         np.minimum(out, ((x[i : i + _STEP, None] ^ _ADD) * _FACTOR).min(axis=0), out=out)
-    return np.concatenate((out, out[: STORED - VALUES]))
+    return out
 
 
 def _least_size(percent: int) -> int:
@@ -95,7 +98,7 @@ def features(docs: DataFrame, percent: int) -> DataFrame:
                 k1.append(int(mix(found).sum(dtype=np.uint64).view(np.int64)))
                 k2.append(int(mix(found ^ np.uint64(0xA5A5A5A5A5A5A5A5)).sum(dtype=np.uint64).view(np.int64)))
                 values.append(_signature(found).view(np.int32) if len(found) >= least else None)
-            offsets = np.cumsum([0] + [STORED * (v is not None) for v in values], dtype=np.int32)
+            offsets = np.cumsum([0] + [VALUES * (v is not None) for v in values], dtype=np.int32)
             flat = np.concatenate([v for v in values if v is not None] or [np.zeros(0, dtype=np.int32)])
             signature = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
             columns = [batch.column(0), *(pa.array(c, pa.int64()) for c in (n, k1, k2)), signature]
@@ -104,48 +107,51 @@ def features(docs: DataFrame, percent: int) -> DataFrame:
     return docs.mapInArrow(make, "id long, n long, k1 long, k2 long, signature array<int>")
 
 
-def _label(signature: Column, tree: Column, depth: int) -> Column:
-    """The first values of a signature in a tree's order."""
-    return F.slice(signature, tree * DEPTH + 1, F.lit(depth))
+def _orders(depth: int, percent: int) -> list[list[int]]:
+    """Places of the values that each order of a depth begins with, from 1.
 
-
-def _key(signature: Column, tree: Column, depth: int) -> Column:
-    return F.xxhash64(F.lit(depth), _label(signature, tree, depth))
+    The first depth takes all values in turn; deeper ones draw theirs, so many that texts of the
+    least similarity share a prefix in some order.
+    """
+    if depth == DEPTH:
+        return [list(range(t * DEPTH + 1, (t + 1) * DEPTH + 1)) for t in range(TREES)]
+    n = math.ceil(math.log(MISS) / math.log1p(-((percent / 100) ** depth)))
+    draw = random.Random(depth)
+    return [[i + 1 for i in draw.sample(range(VALUES), depth)] for _ in range(n)]
 
 
-def _sizes(prefixes: DataFrame) -> DataFrame:
-    found = prefixes.groupBy("tree", "key").agg(F.count("*").alias("size"), F.min("id").alias("a"), F.max("id").alias("b"))
-    return keep(found.where("size > 1"), "regions")
+def _prefixes(signatures: DataFrame, depth: int, percent: int) -> DataFrame:
+    """(id, tree, key): the prefix of each text in each order of a depth."""
+    orders = F.array(*(F.array(*map(F.lit, o)) for o in _orders(depth, percent)))
+    key = lambda o: F.xxhash64(F.transform(o, lambda i: F.element_at("signature", i)))
+    rows = signatures.select("id", F.posexplode(F.transform(orders, key)).alias("tree", "key"))
+    return rows.select("id", F.struct(F.lit(depth).alias("depth"), "tree").alias("tree"), "key")
 
 
-def forest(signatures: DataFrame) -> tuple[DataFrame, DataFrame]:
+def forest(signatures: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     """Regions (tree, key, block, id) of three to REGION texts, and pairs (a, b) of smaller ones.
 
-    ``signatures`` has (id, signature). Pairs of a leader with all texts of a region that the longest
-    prefix cannot divide are among the pairs.
+    ``signatures`` has (id, signature). The leaders of regions that the longest prefix cannot divide
+    are paired with each text there, in the first orders.
     """
-    trees = F.sequence(F.lit(0), F.lit(TREES - 1))
-    keys = F.transform(trees, lambda t: _key(F.col("signature"), t, DEPTH))
-    prefixes = signatures.select("id", F.posexplode(keys).alias("tree", "key"))
     regions, pairs = [], []
     for depth in (DEPTH, *DEEPER):
-        sizes = _sizes(prefixes)
-        pairs.append(sizes.where("size = 2").select("a", "b"))
-        whole = prefixes.join(sizes.where("size > 2"), ["tree", "key"])
         last = depth == DEEPER[-1]
-        whole = keep(whole.select("tree", "key", "id", "size", "a"), "members")
+        prefixes = _prefixes(signatures, depth, percent)
+        sizes = prefixes.groupBy("tree", "key").agg(F.count("*").alias("size"), F.min("id").alias("a"), F.max("id").alias("b"))
+        sizes = keep(sizes.where("size > 1"), "sizes")
+        pairs.append(sizes.where("size = 2").select("a", "b"))
+        whole = keep(prefixes.join(checked(sizes.where("size > 2")), ["tree", "key"]), "members")
+        large = whole.where(F.col("size") > REGION)
         blocks = F.ceil(F.col("size") / REGION).cast("int") if last else F.lit(1)
-        block = F.pmod(F.xxhash64("id"), blocks).cast("int").alias("block")
+        block = F.pmod(F.xxhash64("id", "tree"), blocks).cast("int").alias("block")
         small = whole if last else whole.where(F.col("size") <= REGION)
         regions.append(small.select("tree", "key", block, "id"))
-        large = whole.where(F.col("size") > REGION)
         if last:
-            pairs.append(large.select("a", F.col("id").alias("b")))
+            pairs.append(large.where(F.col("tree")["tree"] < FIRST).select("a", F.col("id").alias("b")))
         if last or large.isEmpty():
             break
-        rows = large.select("tree", "id").join(signatures, "id")
-        deeper = DEEPER[(DEPTH, *DEEPER).index(depth)]
-        prefixes = rows.select("id", "tree", _key(F.col("signature"), F.col("tree"), deeper).alias("key"))
+        signatures = keep(signatures.join(checked(keep(large.select("id").distinct(), "large")), "id", "left_semi"), "dense")
     return reduce(DataFrame.unionByName, regions), reduce(DataFrame.unionByName, pairs)
 
 
@@ -153,80 +159,86 @@ def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def _neighbours(regions: DataFrame, signatures: DataFrame) -> DataFrame:
-    """Pairs that are next to each other in a tree's order within a region of the first trees."""
-    rows = regions.where(F.col("tree") < FIRST_TREES).join(signatures, "id")
-    rows = rows.select("tree", "key", "block", "id", _label(F.col("signature"), F.col("tree"), DEEPER[-1]).alias("label"))
-    order = Window.partitionBy("tree", "key", "block").orderBy("label", "id")
-    return rows.select(F.lag("id").over(order).alias("a"), F.col("id").alias("b")).where("a is not null")
-
-
-def _agreeing(pairs: DataFrame, signatures: DataFrame) -> DataFrame:
-    """The pairs whose signatures agree in MIN_AGREE values."""
+def _agreeing(pairs: DataFrame, signatures: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose signatures agree in as many values as similar sets do."""
+    p = percent / 100
+    least = int(VALUES * p - SHORT * (VALUES * p * (1 - p)) ** 0.5)
     a = signatures.select(F.col("id").alias("a"), F.col("signature").alias("left"))
     b = signatures.select(F.col("id").alias("b"), F.col("signature").alias("right"))
     both = pairs.join(a, "a").join(b, "b")
-    values = (F.slice(c, 1, VALUES) for c in ("left", "right"))
-    same = F.size(F.filter(F.zip_with(*values, lambda x, y: x == y), lambda x: x))
-    return both.where(same >= MIN_AGREE).select("a", "b")
+    same = F.size(F.filter(F.zip_with("left", "right", lambda x, y: x == y), lambda x: x))
+    return both.where(same >= least).select("a", "b")
 
 
-def _partners(regions: DataFrame, components: DataFrame, signatures: DataFrame, best: bool) -> DataFrame:
-    """Agreeing pairs of one region and different components; ``best``: a text's best in each component."""
+def _mixed(regions: DataFrame, components: DataFrame) -> DataFrame:
+    """The rows of regions that hold texts of different components."""
     named = regions.join(components.withColumnRenamed("node", "id"), "id", "left")
     named = named.withColumn("component", F.coalesce("component", "id"))
     region = ["tree", "key", "block"]
-    mixed = named.groupBy(*region).agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    rows = named.join(mixed.where("low <> high").select(*region), region).join(signatures, "id")
-
-    def compare(group: pd.DataFrame) -> pd.DataFrame:
-        # Whatever order the rows came in, a text's partner is the same.
-        group = group.sort_values("id", ignore_index=True)
-        ids, component = group["id"].to_numpy(), group["component"].to_numpy()
-        values = np.array(group["signature"].tolist(), dtype=np.int32)[:, :VALUES]
-        a, b = [], []
-        for i in range(len(ids)):
-            agree = (values == values[i]).sum(axis=1)
-            good = np.flatnonzero((agree >= MIN_AGREE) & (component != component[i]))
-            if best:
-                good = good[np.lexsort((good, -agree[good]))]
-                good = good[np.sort(np.unique(component[good], return_index=True)[1])]
-            else:
-                good = good[good > i]
-            a.extend([ids[i]] * len(good))
-            b.extend(ids[good])
-        return pd.DataFrame({"a": np.array(a, dtype=np.int64), "b": np.array(b, dtype=np.int64)})
+    spread = named.groupBy(*region).agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    return regions.join(spread.where("low <> high").select(*region), region, "left_semi")
+
+
+def _common(found: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all sets with each other."""
+    values, codes = np.unique(np.concatenate(found), return_inverse=True)
+    owner = np.repeat(np.arange(len(found)), [len(x) for x in found])
+    shared = np.bincount(codes, minlength=len(values)) > 1
+    keep_ = shared[codes]
+    codes, owner = (np.cumsum(shared) - 1)[codes[keep_]], owner[keep_]
+    order = np.argsort(codes, kind="stable")
+    codes, owner = codes[order], owner[order]
+    out = np.zeros((len(found), len(found)), dtype=np.float32)
+    for start in range(0, int(shared.sum()), _COLUMNS):
+        a, b = np.searchsorted(codes, (start, start + _COLUMNS))
+        present = np.zeros((len(found), _COLUMNS), dtype=np.float32)
+        present[owner[a:b], codes[a:b] - start] = 1
+        out += present @ present.T
+    return out
+
+
+def _leaders(linked: np.ndarray) -> np.ndarray:
+    """The first text that each text is connected with by links, itself included."""
+    leader = np.full(len(linked), -1)
+    for i in range(len(linked)):
+        if leader[i] >= 0:
+            continue
+        reached = edge = linked[i] | (np.arange(len(linked)) == i)
+        while edge.any():
+            more = linked[edge].any(axis=0) & ~reached
+            reached, edge = reached | more, more
+        leader[reached] = i
+    return leader
 
-    rows = rows.select(*region, "id", "component", "signature")
-    return rows.groupBy(*region).applyInPandas(compare, "a long, b long")
 
+def _region_links(regions: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """(a, b): each text of a region and the first that it is connected with inside the region."""
 
-def _set_table(texts: DataFrame) -> DataFrame:
-    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [x.tobytes() for x in _sets(batch.column(1))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["id", "set"])
+    def compare(region: pa.Table) -> pa.Table:
+        # Whatever order the rows came in, the links are the same.
+        region = region.sort_by("id")
+        ids = region.column("id").to_numpy()
+        found = list(_sets(region.column("text").combine_chunks()))
+        size = np.array([len(x) for x in found])
+        common = _common(found)
+        leader = _leaders(100 * common >= percent * (size[:, None] + size - common))
+        return pa.table({"a": ids[leader], "b": ids}).filter(pa.array(leader != np.arange(len(ids))))
 
-    return texts.mapInArrow(make, "id long, set binary")
+    rows = regions.join(texts, "id").select("tree", "key", "block", "id", "text")
+    return rows.groupBy("tree", "key", "block").applyInArrow(compare, "a long, b long")
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """The pairs that are similar enough on their whole sets."""
-    both = pairs.join(sets.select(F.col("id").alias("a"), F.col("set").alias("left")), "a")
-    size = F.octet_length("left"), F.octet_length("right")
-    both = both.join(sets.select(F.col("id").alias("b"), F.col("set").alias("right")), "b")
-    # The smaller set alone bounds the similarity.
-    both = both.where(F.least(*size) * 100 >= F.greatest(*size) * percent)
+    both = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("left")), "a")
+    both = both.join(texts.select(F.col("id").alias("b"), F.col("text").alias("right")), "b")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             good = []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                left, right = (np.frombuffer(v.as_buffer(), dtype=np.uint64) for v in (x, y))
-                at = np.searchsorted(left, right)
-                at[at == len(left)] = 0
-                common = int((left[at] == right).sum())
-                good.append(100 * common >= percent * (len(left) + len(right) - common))
+            for x, y in zip(_sets(batch.column(2)), _sets(batch.column(3)), strict=True):
+                common = len(x) + len(y) - len(np.union1d(x, y))
+                good.append(100 * common >= percent * (len(x) + len(y) - common))
             yield pa.RecordBatch.from_arrays(batch.columns[:2], names=["a", "b"]).filter(pa.array(good, pa.bool_()))
 
     return both.select("a", "b", "left", "right").mapInArrow(check, "a long, b long")
@@ -249,28 +261,24 @@ def link_components(docs: DataFrame, percent: int = PERCENT, id: str = "doc_id",
     usable = found.where("id is not null and n > 0")
     classes = keep(usable.groupBy("n", "k1", "k2").agg(F.min("id").alias("class")), "classes")
     able = usable.where(F.size("signature") > 0).select("n", "k1", "k2", "id", "signature")
-    signatures = able.join(classes, (able["id"] == classes["class"]) & _equal(able, classes, "n", "k1", "k2"))
-    signatures = signatures.select("id", "signature")
-    regions, pairs = forest(signatures)
-    regions, pairs = keep(regions, "regions"), keep(_ordered(pairs), "pairs")
+    firsts = checked(classes.withColumnRenamed("class", "id"))
+    signatures = keep(able.join(firsts, ["id", "n", "k1", "k2"], "left_semi").select("id", "signature"), "signatures")
+    regions, pairs = forest(signatures, percent)
+    regions, pairs = keep(regions, "regions"), keep(_agreeing(_ordered(pairs), signatures, percent), "pairs")
     involved = regions.select("id").unionByName(pairs.select(F.explode(F.array("a", "b")).alias("id"))).distinct()
-    involved = checked(keep(involved, "involved"))
-    sets = keep(_set_table(texts.join(involved, "id", "left_semi")), "sets")
-
-    first = _ordered(pairs.unionByName(_neighbours(regions, signatures)))
-    checked = keep(_agreeing(first, signatures), "checked")
-    links = keep(_confirmed(checked, sets, percent), "links")
+    texts = keep(texts.join(checked(keep(involved, "involved")), "id", "left_semi"), "texts")
+    first = regions.where(F.col("tree")["tree"] < FIRST)
+    links = _confirmed(pairs, texts, percent).unionByName(_region_links(first, texts, percent))
+    links = keep(links, "links")
     components = connected_components(links)
-    for best in (True, False):
-        fresh = _ordered(_partners(regions, components, signatures, best)).join(checked, ["a", "b"], "left_anti")
-        fresh = keep(fresh, "checked")
-        if fresh.isEmpty():
-            continue
-        more = keep(_confirmed(fresh, sets, percent), "links")
-        checked, before = checked.unionByName(fresh), links
-        if not more.isEmpty():
-            links = before.unionByName(more)
-            components = connected_components(links)
+    rest = _mixed(regions.where(F.col("tree")["tree"] >= FIRST), components)
+    more = keep(_region_links(rest, texts, percent), "links")
+    # Only links between components count; most repeat what is known.
+    names = components.select(F.col("node").alias("a"), F.col("component").alias("one"))
+    others = components.select(F.col("node").alias("b"), F.col("component").alias("two"))
+    fresh = more.distinct().join(names, "a", "left").join(others, "b", "left")
+    fresh = fresh.select(F.coalesce("one", "a").alias("a"), F.coalesce("two", "b").alias("b")).where("a <> b")
+    components = merge_components(components, keep(fresh, "links"))
     rows = found.select("id", "n", "k1", "k2").join(classes, ["n", "k1", "k2"], "left")
     rows = rows.withColumn("class", F.when(F.col("n") > 0, F.col("class")))
     rows = rows.join(components.withColumnRenamed("node", "class"), "class", "left")
@@ -283,10 +291,6 @@ def link_components(docs: DataFrame, percent: int = PERCENT, id: str = "doc_id",
     )
 
 
-def _equal(left: DataFrame, right: DataFrame, *names: str) -> Column:
-    return reduce(Column.__and__, (left[n] == right[n] for n in names))
-
-
 def drop_near_copies(docs: DataFrame, percent: int = PERCENT, id: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents that stay: one of each component, columns as they were.
 

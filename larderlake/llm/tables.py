@@ -82,6 +82,14 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
     return stars.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots)
 
 
+def merge_components(components: DataFrame, links: DataFrame) -> DataFrame:
+    """Components after more links (a, b) between components; a text alone is a component of its own."""
+    moved = keep(connected_components(links), "moved")
+    old = components.join(moved.select(F.col("node").alias("component"), F.col("component").alias("to")), "component", "left")
+    old = old.select("node", F.coalesce("to", "component").alias("component"))
+    return old.unionByName(moved.join(old.select("node"), "node", "left_anti"))
+
+
 def _fingerprint(stars: DataFrame):
     total = F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
     return stars.agg(F.count("*"), total).first()
