@@ -5,10 +5,10 @@ updates the open version in place. Feeds hold inserts and updates only. History
 ``__START_AT`` (sequence of the first row of the version) and ``__END_AT`` (start of the next one,
 NULL while current).
 
-A history needs each key's rows in sequence order. Most keys fit a window over the key. A key with
-more than ``hot_rows`` rows is cut into consecutive stretches of its timeline; each stretch is
-versioned on its own, and only its first and last version meet in a window over the whole key. The
-result is the same.
+A history needs each key's rows in sequence order. The timeline of a key is cut into stretches of
+about ``hot_rows`` sequence values, each stretch is versioned on its own, and only its first and
+last version meet in a window over the whole key. A key with few rows is one stretch, seldom two;
+keys of any size take the same way. A NULL sequence comes before all others.
 """
 
 from __future__ import annotations
@@ -19,14 +19,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from larderlake.operators.dedup import latest
-from larderlake.sources.scratch import scratch_dir
 
 START, END = "__START_AT", "__END_AT"
 
-#: Rows of one key that a single task may sort. Above it the key's timeline is cut.
-HOT_ROWS = 5_000_000
-#: A hot key is cut at permilles of its sequence, as many as its size asks for.
-_CUTS = [i / 1000 for i in range(1, 1000)]
+#: Sequence values of one key that a single task sorts, about.
+HOT_ROWS = 1_000_000
 
 
 def _tracked(track: Sequence[str]) -> Column:
@@ -45,50 +42,25 @@ def unique_sequence(
     return latest(feed, [*keys, sequence_by], [], order).select(*feed.columns)
 
 
-def _last_of_sequence(
-    feed: DataFrame, keys: Sequence[str], sequence_by: str, order: Sequence[str] | None
+def _stretches(
+    rows: DataFrame, feed: DataFrame, keys: Sequence[str], sequence_by: str, hot_rows: int | None
 ) -> DataFrame:
-    """What ``unique_sequence`` keeps, found in the window over the key.
+    """Adds the number of the stretch that a row lies in.
 
-    The versions need that window anyway and share its shuffle and its sort. Only for keys small
-    enough for one task: the window sees all copies of a row.
+    One in ``hot_rows`` sequence values of a key, by hash, begins a new stretch. So the cuts of a key
+    are as many as its size asks for, need no count, and are the same in every run; they compare as
+    structs, which order any type and NULL too.
     """
-    attrs = [c for c in feed.columns if c not in (*keys, sequence_by)]
-    by = dict.fromkeys([sequence_by, *(order or ()), *attrs])
-    timeline = Window.partitionBy(*keys).orderBy(*by)
-    now = F.struct(sequence_by)
-    superseded = now.eqNullSafe(F.lead(now).over(timeline))
-    return feed.withColumn("__old", superseded).filter("NOT __old").drop("__old")
-
-
-def hot_timelines(
-    feed: DataFrame, keys: Sequence[str], sequence_by: str, hot_rows: int
-) -> DataFrame | None:
-    """Cut points of the keys that hold more than ``hot_rows`` rows, or None without such keys.
-
-    There are at most ``rows / hot_rows`` of them, each with at most 999 cuts. The tables are
-    written, so the joins with them are planned on measured sizes.
-    """
-    spark = feed.sparkSession
-    counts = feed.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    largest = counts.agg(F.max("__n")).first()[0]
-    if largest is None or largest <= hot_rows:
-        return None
-    hot_path = scratch_dir(spark, "hot-keys")
-    counts.filter(F.col("__n") > hot_rows).write.parquet(hot_path)
-    hot = spark.read.parquet(hot_path)
-    every = F.greatest(F.lit(1), F.floor(F.lit(1000 * hot_rows) / F.col("__n"))).cast("int")
-    points = (
-        feed.select(*keys, sequence_by)
-        .join(hot, list(keys))
-        .groupBy(*keys, "__n")
-        .agg(F.percentile_approx(sequence_by, _CUTS, 10_000).alias("__points"))
-        .withColumn("__every", every)
+    if hot_rows is None:
+        return rows.withColumn("__stretch", F.lit(0))
+    place = F.struct(F.col(sequence_by).alias("at"))
+    cuts = (
+        feed.filter(F.pmod(F.xxhash64(*keys, sequence_by), F.lit(hot_rows)) == 0)
+        .groupBy(*keys)
+        .agg(F.collect_set(place).alias("__cuts"))
     )
-    cuts = F.expr("array_distinct(filter(__points, (x, i) -> (i + 1) % __every = 0))")
-    cut_path = scratch_dir(spark, "hot-cuts")
-    points.select(*keys, cuts.alias("__cuts")).write.parquet(cut_path)
-    return spark.read.parquet(cut_path)
+    number = F.size(F.filter(F.coalesce("__cuts", F.array()), lambda cut: cut <= place))
+    return rows.join(cuts, list(keys), "left").withColumn("__stretch", number).drop("__cuts")
 
 
 def scd2_history(
@@ -98,79 +70,64 @@ def scd2_history(
     track: Sequence[str],
     order: Sequence[str] | None = None,
     hot_rows: int | None = HOT_ROWS,
-    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Version history of a change feed.
 
-    ``order`` breaks ties between rows of one key and sequence. Hot keys are looked for in
-    ``counted``, by default the feed itself; any superset of its rows that is cheap to scan will
-    do. ``hot_rows=None`` skips the search, for feeds known to have none.
+    ``order`` breaks ties between rows of one key and sequence. ``hot_rows=None`` leaves timelines
+    whole, for feeds known to have only small keys. The history is the same whatever the cuts are.
     """
-    looked_at = feed if counted is None else counted
-    cuts = hot_timelines(looked_at, keys, sequence_by, hot_rows) if hot_rows else None
-    if cuts is None:
-        rows = _last_of_sequence(feed, keys, sequence_by, order)
-        return _versions(rows, keys, sequence_by, track).drop("__first")
     rows = unique_sequence(feed, keys, sequence_by, order)
-
-    # Stretch number: how many cut points lie at or before the row; -1 for keys that are not cut.
-    number = F.when(
-        F.col("__cuts").isNotNull(),
-        F.size(F.filter("__cuts", lambda cut: cut <= F.col(sequence_by))),
-    ).otherwise(-1)
-    stretched = rows.join(cuts, list(keys), "left").withColumn("__stretch", number).drop("__cuts")
-    local = _versions(stretched, [*keys, "__stretch"], sequence_by, track)
-    # One CASE, so that no part of it is pushed below the window: both branches share its shuffle.
-    at_edge = F.when(
-        F.col("__stretch") >= 0, (F.col(START) == F.col("__first")) | F.col(END).isNull()
-    ).otherwise(False)
-    inner = local.filter(~at_edge)
-    edges = _stitch(local.filter(at_edge), keys, track)
-    return inner.unionByName(edges).drop("__stretch", "__first")
+    rows = _stretches(rows, feed, keys, sequence_by, hot_rows)
+    return _stitch(_versions(rows, [*keys, "__stretch"], sequence_by, track), keys, track)
 
 
 def _versions(
     rows: DataFrame, within: Sequence[str], sequence_by: str, track: Sequence[str]
 ) -> DataFrame:
-    """Versions inside each ``within`` group, in one sort; ``__first`` is the group's first start."""
+    """Versions inside each ``within`` group, in one sort.
+
+    ``__number`` counts a group's versions from 1, ``__last`` marks the last one.
+    """
     timeline = Window.partitionBy(*within).orderBy(sequence_by)
     so_far = timeline.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     now = _tracked(track)
     neighbours = {
         "__opens": ~now.eqNullSafe(F.lag(now).over(timeline)),
         "__closes": ~now.eqNullSafe(F.lead(now).over(timeline)),
+        "__last": F.lead(F.lit(True)).over(timeline).isNull(),
         END: F.lead(sequence_by).over(timeline),
-        "__first": F.min(sequence_by).over(so_far),
     }
-    start = F.max(F.when(F.col("__opens"), F.col(sequence_by))).over(so_far)
     return (
         rows.withColumns(neighbours)
-        .withColumn(START, start)
+        .withColumn(START, F.max(F.when(F.col("__opens"), F.col(sequence_by))).over(so_far))
+        .withColumn("__number", F.count_if("__opens").over(so_far))
         .filter("__closes")
         .drop("__opens", "__closes")
     )
 
 
-def _stitch(edges: DataFrame, keys: Sequence[str], track: Sequence[str]) -> DataFrame:
+def _stitch(versions: DataFrame, keys: Sequence[str], track: Sequence[str]) -> DataFrame:
     """Join versions that go on across stretch borders.
 
-    ``edges`` holds the first and last version of each stretch: two rows per stretch at most, so
-    the window over a whole key stays small.
+    Only the first and last version of each stretch go into the window over a whole key: two rows
+    per stretch at most. One CASE for the test, so that no part of it is pushed below the window of
+    the versions: both branches share its shuffle.
     """
-    order = Window.partitionBy(*keys).orderBy(START)
+    edge = F.when(F.col("__last"), True).otherwise(F.col("__number") == 1)
+    inner, edges = versions.filter(~edge), versions.filter(edge)
+    order = Window.partitionBy(*keys).orderBy("__stretch", "__number")
     so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     now = _tracked(track)
-    heads = F.col(START) == F.col("__first")
-    goes_on = heads & now.eqNullSafe(F.lag(now).over(order))
-    return (
+    goes_on = (F.col("__number") == 1) & now.eqNullSafe(F.lag(now).over(order))
+    stitched = (
         edges.withColumn("__goes_on", goes_on)
         .withColumn("__absorbed", F.coalesce(F.lead("__goes_on").over(order), F.lit(False)))
-        .withColumn(END, F.coalesce(F.col(END), F.lead(START).over(order)))
-        .withColumn("__begin", F.max(F.when(~F.col("__goes_on"), F.col(START))).over(so_far))
+        .withColumn(END, F.when(F.col("__last"), F.lead(START).over(order)).otherwise(F.col(END)))
+        .withColumn(START, F.max(F.when(~F.col("__goes_on"), F.col(START))).over(so_far))
         .filter(~F.col("__absorbed"))
-        .withColumn(START, F.col("__begin"))
-        .drop("__goes_on", "__absorbed", "__begin")
+        .drop("__goes_on", "__absorbed")
     )
+    return inner.unionByName(stitched).drop("__stretch", "__number", "__last")
 
 
 def current(history: DataFrame) -> DataFrame:
@@ -202,18 +159,20 @@ def scd2_merge(
     """
     keys = list(keys)
     new = batch.select(*log.columns)
-    cut = new.groupBy(*keys).agg(F.min(sequence_by).alias("__cut"))
+    # Structs order NULL too: a row without sequence reopens the whole timeline.
+    place = lambda name: F.struct(F.col(name).alias("at"))
+    cut = new.groupBy(*keys).agg(F.min(place(sequence_by)).alias("__cut"))
     known = history.join(cut, keys, "left")
-    closed_before = F.col("__cut").isNull() | F.coalesce(F.col(END) < F.col("__cut"), F.lit(False))
-    reopened = known.filter(~closed_before).groupBy(*keys).agg(F.min(START).alias("__from"))
+    ended = F.col(END).isNotNull() & (place(END) < F.col("__cut"))
+    closed_before = F.col("__cut").isNull() | F.coalesce(ended, F.lit(False))
+    reopened = known.filter(~closed_before).groupBy(*keys).agg(F.min(place(START)).alias("__from"))
     replay = (
         log.join(reopened, keys)
-        .filter(F.col(sequence_by) >= F.col("__from"))
+        .filter(place(sequence_by) >= F.col("__from"))
         .select(*log.columns)
         .unionByName(new)
     )
-    points = log.select(*keys, sequence_by).unionByName(new.select(*keys, sequence_by))
-    redone = scd2_history(replay, keys, sequence_by, track, order, hot_rows, points)
+    redone = scd2_history(replay, keys, sequence_by, track, order, hot_rows)
     kept = known.filter(closed_before).select(*history.columns)
     return kept.unionByName(redone.select(*history.columns))
 

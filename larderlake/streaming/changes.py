@@ -49,26 +49,34 @@ class ChangeSpec:
 
 
 def read_history(spark: SparkSession, path: str) -> DataFrame:
-    """The target as users see it."""
-    return spark.read.parquet(f"{path}/history").drop(BUCKET)
+    """The target as users see it; columns that came later are NULL in older rows."""
+    return spark.read.option("mergeSchema", True).parquet(f"{path}/history").drop(BUCKET)
 
 
 def rebuild(spark: SparkSession, path: str, spec: ChangeSpec) -> DataFrame:
-    """The type-2 history derived from the log alone."""
-    log = spark.read.parquet(f"{path}/log").drop(BUCKET, BATCH)
+    """The target derived from the log alone."""
+    log = spark.read.option("mergeSchema", True).parquet(f"{path}/log").drop(BUCKET, BATCH)
+    if spec.track is None:
+        return scd1_latest(log, spec.keys, spec.sequence_by, spec.order)
     return scd2_history(log, spec.keys, spec.sequence_by, spec.track, spec.order, spec.hot_rows)
 
 
 def _stored(spark: SparkSession, path: str) -> DataFrame | None:
     """A stored table, or None before its first batch."""
     try:
-        return spark.read.parquet(path)
+        return spark.read.option("mergeSchema", True).parquet(path)
     except AnalysisException as error:
         if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
         raise
 
 
+def _with_columns_of(df: DataFrame, other: DataFrame) -> DataFrame:
+    """Adds the columns that only the other table has, as NULL."""
+    missing = [f for f in other.schema if f.name not in df.columns]
+    return df.select("*", *(F.lit(None).cast(f.dataType).alias(f.name) for f in missing))
+
+
 def _replace(df: DataFrame, path: str, *partitions: str) -> None:
     """Replace the partitions that occur in ``df``; rebalanced, so hot buckets split over files."""
     writer = df.hint("rebalance", *partitions).write.mode("overwrite").partitionBy(*partitions)
@@ -76,9 +84,12 @@ def _replace(df: DataFrame, path: str, *partitions: str) -> None:
 
 
 def merge_batch(batch: DataFrame, batch_id: int, path: str, spec: ChangeSpec) -> None:
-    """Apply one batch to the target at ``path``."""
+    """Apply one batch to the target at ``path``.
+
+    The log takes the batch first; from it the target can be rebuilt whatever happens to a merge.
+    Columns that the target does not have yet are added to it.
+    """
     spark = batch.sparkSession
-    cols = batch.columns
     keys = [BUCKET, *spec.keys]
     # One row per key and sequence is all a merge can use; the write is what the merge then reads.
     log_path = f"{path}/log"
@@ -87,12 +98,9 @@ def merge_batch(batch: DataFrame, batch_id: int, path: str, spec: ChangeSpec) ->
     else:
         rows = unique_sequence(batch, spec.keys, spec.sequence_by, spec.order)
     rows = rows.withColumn(BUCKET, spec.bucket())
-    if spec.track is None:
-        fresh = rows
-    else:
-        _replace(rows.withColumn(BATCH, F.lit(batch_id)), log_path, BUCKET, BATCH)
-        log = spark.read.parquet(log_path)
-        fresh = log.filter(F.col(BATCH) == batch_id).select(*cols, BUCKET)
+    _replace(rows.withColumn(BATCH, F.lit(batch_id)), log_path, BUCKET, BATCH)
+    log = spark.read.option("mergeSchema", True).parquet(log_path)
+    fresh = log.filter(F.col(BATCH) == batch_id).drop(BATCH)
 
     # At most spec.buckets numbers; as literals they prune the partitions that are read.
     touched = [r[0] for r in fresh.select(BUCKET).distinct().collect()]
@@ -100,14 +108,12 @@ def merge_batch(batch: DataFrame, batch_id: int, path: str, spec: ChangeSpec) ->
         return
     history = _stored(spark, f"{path}/history")
     if history is not None:
-        history = history.filter(F.col(BUCKET).isin(touched))
+        history = _with_columns_of(history.filter(F.col(BUCKET).isin(touched)), fresh)
 
     if spec.track is None:
         merged = fresh
         if history is not None:
-            merged = scd1_merge(
-                history.select(*fresh.columns), fresh, keys, spec.sequence_by, spec.order
-            )
+            merged = scd1_merge(history, fresh, keys, spec.sequence_by, spec.order)
     elif history is None:
         merged = scd2_history(
             fresh, keys, spec.sequence_by, spec.track, spec.order, spec.hot_rows
@@ -116,7 +122,7 @@ def merge_batch(batch: DataFrame, batch_id: int, path: str, spec: ChangeSpec) ->
         older = log.filter(F.col(BUCKET).isin(touched) & (F.col(BATCH) != batch_id))
         merged = scd2_merge(
             history,
-            older.select(*cols, BUCKET),
+            older.drop(BATCH),
             fresh,
             keys,
             spec.sequence_by,

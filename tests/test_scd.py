@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from larderlake.operators import scd
 from larderlake.operators.scd import END, START
@@ -19,9 +20,8 @@ def feed(spark, *data):
 
 
 def versions(df):
-    return sorted(
-        ((r["k"], r[START], r[END], r["t"], r["u"]) for r in df.collect()), key=lambda v: v[:2]
-    )
+    found = [(r["k"], r[START], r[END], r["t"], r["u"]) for r in df.collect()]
+    return sorted(found, key=lambda v: (v[0], v[1] is not None, v[1]) if v[1] is not None else (v[0], False))
 
 
 def expected(data):
@@ -112,12 +112,46 @@ def test_one_value_across_all_stretches_is_one_version(spark):
     assert found == [(1, 0, None, "a", "049")]
 
 
-def test_cuts_are_made_where_needed(spark):
-    data = [(1, i, "a", "x") for i in range(40)] + [(2, 1, "a", "x")]
-    cuts = scd.hot_timelines(feed(spark, *data), ["k"], "seq", 10)
-    (row,) = cuts.collect()
-    assert row.k == 1 and 3 <= len(row["__cuts"]) <= 4
-    assert scd.hot_timelines(feed(spark, *data), ["k"], "seq", 40) is None
+@pytest.mark.parametrize("kind", ["string", "date", "timestamp", "long"])
+def test_any_sequence_type_and_null_give_the_same_history(spark, kind):
+    def at(n):
+        day = f"2024-01-{n:02}"
+        return {"string": day, "date": day, "timestamp": f"{day} 00:00:00", "long": str(n)}[kind]
+
+    rows = [(1, at(i), "ab"[i // 3 % 2], f"u{i}") for i in range(1, 20)]
+    rows += [(1, None, "a", "u0"), (2, None, None, "x"), (2, at(3), None, "y"), (3, None, "a", "z"), (1, at(4), "b", "u0")]
+    df = spark.createDataFrame(rows, "k int, seq string, t string, u string")
+    df = df.withColumn("seq", F.col("seq").cast(kind))
+    found = {h: versions(scd.scd2_history(df, **SPEC, hot_rows=h)) for h in (None, 1, 3, 20)}
+    assert all(v == found[None] for v in found.values())
+    # A version that begins without sequence ends where the next one begins, or is the current one.
+    starts = {v[0]: v[2] for v in found[None] if v[1] is None}
+    assert starts.keys() == {1, 2, 3} and starts[2] is None and starts[3] is None
+    assert starts[1] == [v[1] for v in found[None] if v[0] == 1][1]
+
+
+def test_a_plan_starts_no_job(spark):
+    group = "history-plan"
+    spark.sparkContext.setJobGroup(group, "plan")
+    scd.scd2_history(feed(spark, *EXAMPLE), **SPEC, hot_rows=1)
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup(group)
+
+
+@pytest.mark.parametrize("track", [["t"], None])
+def test_a_batch_may_bring_a_new_column_and_null_sequences(spark, path, track):
+    spec = ChangeSpec(["k"], "seq", track, buckets=2, hot_rows=2)
+    first = [(1, 2, "a", "x"), (2, 5, "b", "y")]
+    merge_batch(feed(spark, *first), 0, path, spec)
+    wide = feed(spark, (1, None, "a", "n"), (1, 4, "b", "z"), (3, 1, None, "w")).withColumn("more", F.lit("new"))
+    merge_batch(wide, 1, path, spec)
+    whole = feed(spark, *first).withColumn("more", F.lit(None).cast("string")).unionByName(wide)
+    if track:
+        wanted = scd.scd2_history(whole, ["k"], "seq", track, hot_rows=None)
+    else:
+        wanted = scd.scd1_latest(whole, ["k"], "seq")
+    rebuilt = rebuild(spark, path, spec).select(*wanted.columns)
+    found = read_history(spark, path).select(*wanted.columns)
+    assert rows(found) == rows(wanted) == rows(rebuilt)
 
 
 @pytest.mark.parametrize("seed", range(3))
