@@ -93,8 +93,9 @@ def inventory_view(inventory: DataFrame) -> MetricView:
     )
 
 
+#: Revenue is summed in whole cents: exact, whatever the order of rows.
 _SALES = {
-    "total_store_revenue": "sum(total_store_revenue)",
+    "total_store_revenue": "sum(cast(round(total_store_revenue * 100) as bigint)) / 100",
     "total_items_sold": "sum(total_items_sold)",
 }
 

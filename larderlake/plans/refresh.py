@@ -75,7 +75,7 @@ class RunLog:
 
     def __exit__(self, kind, error, trace) -> None:
         if error is not None:
-            self.add("update_progress", state="FAILED", error=str(error)[:2000])
+            self.add("update_progress", state="FAILED", error=str(error))
         else:
             self.add("update_progress", state="COMPLETED")
         rows = self.spark.createDataFrame(self.events, _EVENT_DDL)

@@ -110,31 +110,3 @@ CLUSTERING = {
     "fact_sales": ["transaction_date", "store_id", "product_id", "customer_id"],
     "fact_returns": ["return_date", "store_id", "product_id"],
 }
-
-#: Descriptive tags of the stored tables.
-TAGS = {
-    "transactions": {"layer": "silver", "domain": "sales", "contains_pii": False, "scd_type": None},
-    "returns": {"layer": "silver", "domain": "returns", "contains_pii": False, "scd_type": None},
-    "stores": {"layer": "silver", "domain": "reference_data", "contains_pii": False, "scd_type": 2},
-    "regions": {"layer": "silver", "domain": "reference_data", "contains_pii": False, "scd_type": 1},
-    "calendar": {
-        "layer": "silver", "domain": "reference_data", "contains_pii": False, "scd_type": None,
-    },
-    "orders": {"layer": "silver", "domain": "orders", "contains_pii": False, "scd_type": None},
-    "inventory": {"layer": "silver", "domain": "inventory", "contains_pii": False, "scd_type": None},
-    "customers": {"layer": "silver", "domain": "customers", "contains_pii": True, "scd_type": 2},
-    "products": {"layer": "silver", "domain": "products", "contains_pii": False, "scd_type": 2},
-    "dim_date": {"layer": "gold", "domain": "reference", "contains_pii": False},
-    "dim_region": {"layer": "gold", "domain": "reference", "contains_pii": False},
-    "dim_store": {"layer": "gold", "domain": "stores", "contains_pii": False},
-    "dim_customer": {"layer": "gold", "domain": "customers", "contains_pii": True},
-    "dim_product": {"layer": "gold", "domain": "products", "contains_pii": False},
-    "fact_sales": {"layer": "gold", "domain": "sales", "contains_pii": False},
-    "fact_returns": {"layer": "gold", "domain": "returns", "contains_pii": False},
-    "agg_executive_overview": {"layer": "gold_agg", "domain": "executive_dashboard"},
-    "agg_ops_inventory_alerts": {"layer": "gold_agg", "domain": "ops_dashboard"},
-    "agg_ops_orders_per_minute": {"layer": "gold_agg", "domain": "ops_dashboard"},
-    "agg_regional_sales": {"layer": "gold_agg", "domain": "regional_dashboard"},
-    "agg_customer_ltv": {"layer": "gold_agg", "domain": "marketing_dashboard"},
-    "agg_store_space_utilization": {"layer": "gold_agg", "domain": "ops_dashboard"},
-}

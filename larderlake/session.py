@@ -5,8 +5,13 @@ Nothing in the package needs these to be right; they decide how fast a plan is.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import SparkSession
 
+#: Batch reports of a stream that are kept for its counts.
+KEPT_REPORTS = 10_000
+
 #: Runtime settings, safe to change on a live session.
 RUNTIME = {
     # Keys and texts hold timestamps as wall-clock strings.
@@ -21,7 +26,7 @@ RUNTIME = {
     # Split a hot key even where that costs a later shuffle: one endless task costs more.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Rule counts of a stream are summed over its batches; keep the reports of long catch-up runs.
-    "spark.sql.streaming.numRecentProgressUpdates": "10000",
+    "spark.sql.streaming.numRecentProgressUpdates": str(KEPT_REPORTS),
     # A runtime filter from a small join side prunes the large scan.
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
 }
@@ -34,8 +39,21 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def build_session(app: str = "larderlake", master: str | None = None, **conf: str) -> SparkSession:
-    """Build a session; keyword names use ``__`` for dots (``spark__sql__shuffle__partitions="8"``)."""
+#: Megabytes of input that a shuffle partition should hold.
+PARTITION_MB = 256
+
+
+def build_session(
+    app: str = "larderlake", master: str | None = None, input_gb: float | None = None, **conf: str
+) -> SparkSession:
+    """Build a session; keyword names use ``__`` for dots (``spark__sql__shuffle__partitions="8"``).
+
+    ``input_gb`` is the size of the largest input: shuffles start with partitions enough for it, and
+    small ones are merged at run time.
+    """
+    if input_gb is not None:
+        initial = str(max(200, math.ceil(input_gb * 1024 / PARTITION_MB)))
+        conf.setdefault("spark__sql__adaptive__coalescePartitions__initialPartitionNum", initial)
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)

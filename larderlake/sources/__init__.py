@@ -15,7 +15,6 @@ from larderlake.sources.tables import (
     layer_path,
     read_layer,
     replace_table,
-    spread_scan,
     write_table,
 )
 
@@ -33,7 +32,6 @@ __all__ = [
     "register_bronze",
     "replace_table",
     "scratch_dir",
-    "spread_scan",
     "unwrap_json",
     "with_lineage",
     "write_table",

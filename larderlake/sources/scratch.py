@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -11,12 +10,8 @@ from pyspark.sql import SparkSession
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder under the one the cluster names in ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a temporary folder of this machine: executors
-    of a cluster could not see it.
+    A session without that setting writes below its warehouse, which executors see as well.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/larderlake/{label}-{uuid.uuid4().hex}"
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    return tempfile.mkdtemp(prefix=f"larderlake-{label}-")
+    shared = shared or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+    return f"{shared.rstrip('/')}/larderlake/{label}-{uuid.uuid4().hex}"

@@ -16,16 +16,6 @@ def read_layer(spark: SparkSession, root: str, layer: str, table: str) -> DataFr
     return spark.read.parquet(layer_path(root, layer, table))
 
 
-def spread_scan(df: DataFrame, by: str) -> DataFrame:
-    """Spread a scan that has fewer splits than the cluster has cores, by a column of many values.
-
-    A single small file, or one that cannot be split, would keep every step up to the first
-    shuffle in one task. A table of many files comes back unchanged.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, by) if df.rdd.getNumPartitions() < cores else df
-
-
 def write_table(
     df: DataFrame,
     path: str,

@@ -7,6 +7,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from larderlake.session import KEPT_REPORTS
+
 
 def checkpoint_dir(root: str, env: str, table: str) -> str:
     """One checkpoint per environment and table."""
@@ -51,9 +53,16 @@ def _finish(writer, name: str | None) -> StreamingQuery:
 
 
 def quality_metrics(query: StreamingQuery, label: str) -> dict[str, int]:
-    """Rule counts of a stream run, summed over its batches."""
+    """Rule counts of a stream run, summed over its batches.
+
+    Spark keeps the reports of so many batches and drops earlier ones; a run of more batches has no
+    whole counts and is an error.
+    """
     totals: dict[str, int] = {}
-    for progress in query.recentProgress:
+    reports = query.recentProgress
+    if len(reports) >= KEPT_REPORTS:
+        raise RuntimeError("a run of this many batches keeps no whole counts: take more files at a time")
+    for progress in reports:
         row = progress.observedMetrics.get(label)
         for metric, value in (row.asDict() if row else {}).items():
             totals[metric] = totals.get(metric, 0) + value

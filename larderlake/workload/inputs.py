@@ -6,14 +6,12 @@ rows are bent on purpose: missing keys, zero quantities, orphans, NULL names, un
 
 from __future__ import annotations
 
-from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larderlake.operators.scd import END, START
 from larderlake.plans import silver
-from larderlake.sources import spread_scan
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
@@ -173,15 +171,11 @@ SQL: dict[str, str] = {
 }
 
 
-@lru_cache(maxsize=64)
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A test table; files are listed and footers read once per session."""
-    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    by = {"lineitem": "l_orderkey", "events": "event_id"}.get(name)
-    return spread_scan(rows, by) if by else rows
+    """A test table."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-@lru_cache(maxsize=256)
 def raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the inputs above as a DataFrame."""
     text = SQL[name].replace("@K", JSON_K["spark"])

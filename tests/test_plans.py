@@ -11,7 +11,7 @@ from larderlake.operators.quality import enforce
 from larderlake.plans import facts, marts, schemas
 from larderlake.plans.policies import POLICIES
 from larderlake.plans.rules import RULES
-from larderlake.sources import spread_scan, write_table
+from larderlake.sources import write_table
 from larderlake.workload import inputs
 from larderlake.workload.queries import QUERIES, full_store, star
 from tests.conftest import rows
@@ -91,13 +91,9 @@ def test_written_partitions_are_sorted_and_few(spark, lake):
     assert found == sorted(found)
 
 
-def test_small_scans_are_spread_and_large_ones_left(spark, lake):
-    df = spark.read.parquet(lake["root"] + "/fact_sales")
-    one = spark.read.parquet(f"{SF}/orders.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    assert spread_scan(one, "o_orderkey").rdd.getNumPartitions() == cores
-    wide = df.repartition(cores * 2)
-    assert spread_scan(wide, "sale_sk") is wide
+@pytest.mark.parametrize("name", ["v1_transactions", "g6_fact_sales", "d5c_store_performance", "a3_flow_metrics"])
+def test_scans_are_not_shuffled_for_more_tasks(spark, name):
+    assert "REPARTITION_BY_NUM" not in plan(QUERIES[name](spark, SF))
 
 
 @pytest.fixture
@@ -121,7 +117,7 @@ def no_broadcast(spark):
 def test_shuffle_joins_give_the_same_facts(spark, lake, no_broadcast):
     # A third of the lines on one product and one store.
     hot = F.pmod(F.xxhash64("customer_id", "quantity", "stock_date"), F.lit(3)) == 0
-    lines = lake["transactions"].withColumns(
+    lines = lake["transactions"].repartition(4).withColumns(
         {
             "product_id": F.when(hot, 1).otherwise(F.col("product_id")),
             "store_id": F.when(hot, 1).otherwise(F.col("store_id")),
