@@ -39,8 +39,12 @@ def pinned_csv_schema(spark: SparkSession, path: str, pin: str) -> StructType:
 def read_csv_stream(
     spark: SparkSession, path: str, schema: StructType, max_files: int | None = None
 ) -> DataFrame:
-    """Headered CSV files as a stream: each file is read once, new ones on the next run."""
-    reader = spark.readStream.schema(schema).option("header", True)
+    """Headered CSV files as a stream: each file is read once, new ones on the next run.
+
+    All files must have the columns of the schema, in its order; another header is an error. Feeds
+    whose columns move are read by ``drift.ingest_csv_by_name``.
+    """
+    reader = spark.readStream.schema(schema).option("header", True).option("enforceSchema", False)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.csv(path)

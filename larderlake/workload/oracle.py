@@ -302,6 +302,17 @@ CHECKS: dict[str, str] = {
                cast(customer_id as integer) as customer_id, cast(store_id as integer) as store_id,
                cast(quantity as integer) as quantity, 'transactions' as source_name
         from r_transactions""",
+    "s1_csv_drift": """
+        select transaction_date, case when cast(quantity as int) % 3 <> 2 then stock_date end as stock_date,
+               cast(product_id as integer) as product_id,
+               case when cast(quantity as int) % 3 <> 1 or cast(product_id as int) % 5 <> 0
+                    then cast(customer_id as integer) end as customer_id,
+               cast(store_id as integer) as store_id, cast(quantity as integer) as quantity,
+               case when cast(quantity as int) % 3 = 2 then concat('p', store_id) end as promo,
+               case when cast(quantity as int) % 3 = 1 and cast(product_id as int) % 5 = 0
+                         and customer_id is not null
+                    then concat('{"customer_id":"x', customer_id, '"}') end as _rescued
+        from r_transactions""",
     "s3_lineage": """
         select 'lineitem.parquet' as file_name, 'transactions' as source_name,
                count(*) as stamped_rows from lineitem""",

@@ -35,6 +35,7 @@ from larderlake.sources import (
     with_lineage,
     write_table,
 )
+from larderlake.sources import drift
 from larderlake.streaming import (
     ChangeSpec,
     apply_changes_stream,
@@ -148,6 +149,28 @@ def s1_csv_stream(spark, sf_dir):
     return result(spark.read.parquet(f"{target}/t").drop("source_file"))
 
 
+@query
+def s1_csv_drift(spark, sf_dir):
+    """Deliveries whose columns are reordered, added, left out and misfit, read by name."""
+    root = scratch_dir(spark, "drift")
+    feed = raw(spark, sf_dir, "r_transactions").drop("ingestion_time", "source_file")
+    part = F.pmod(F.col("quantity").cast("int"), F.lit(3))
+    odd = F.when(F.col("product_id") % 5 == 0, F.concat(F.lit("x"), "customer_id"))
+    deliveries = [
+        feed.filter(part == 0),
+        feed.filter(part == 1).withColumn("customer_id", F.coalesce(odd, "customer_id")).select(*feed.columns[::-1]),
+        feed.filter(part == 2).withColumn("promo", F.concat(F.lit("p"), "store_id")).drop("stock_date"),
+    ]
+    schema = T.StructType.fromDDL(
+        "transaction_date string, stock_date string, product_id int, customer_id int, store_id int, quantity int"
+    )
+    for i, delivery in enumerate(deliveries):
+        delivery.write.option("header", True).csv(f"{root}/landing/{i}")
+        checkpoint = checkpoint_dir(root, ENV, "drift")
+        drift.ingest_csv_by_name(spark, f"{root}/landing/*", f"{root}/t", checkpoint, schema)
+    return drift.read_drifted(spark, f"{root}/t")
+
+
 @query
 def s3_lineage(spark, sf_dir):
     """Lineage columns of a file source: base name of the file and dataset, per file."""

@@ -223,3 +223,22 @@ def test_silver_takes_dates_already_typed(spark):
         "return_date date, product_id int, store_id int, quantity int",
     ).withColumn("ingestion_time", F.lit(ARRIVED))
     assert rows(silver.cleanse_returns(lines, "t"))[0]["return_date"] == day("2024-01-05")
+
+
+def test_csv_files_are_read_by_their_own_headers(spark, path):
+    from pyspark.sql import types as T
+
+    from larderlake.sources import drift
+
+    files = {"a": "k,v\n1,x\n2,y\n", "b": "v,k\nz,3\nbad,n/a\n", "c": "k,more\n4,new\n", "d": "k,v\n"}
+    for name, text in files.items():
+        with open(f"{path}/{name}.csv", "w") as f:
+            f.write(text)
+    schema = T.StructType.fromDDL("k int, v string")
+    found = drift.read_csv_by_name(spark, [f"{path}/{n}.csv" for n in files], schema)
+    assert found.columns == ["k", "v", drift.RESCUED, "more"]
+    assert {tuple(r) for r in found.collect()} == {
+        (1, "x", None, None), (2, "y", None, None), (3, "z", None, None), (4, None, None, "new"),
+        (None, "bad", '{"k":"n/a"}', None),
+    }
+    assert drift.read_csv_by_name(spark, [], schema).count() == 0
