@@ -215,22 +215,29 @@ def _history(rows: DataFrame, key: str, earlier: dict) -> DataFrame:
     return now.unionByName(before)
 
 
+def feed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Cleansed and accepted rows of stores, customers or products, one a key."""
+    cleanse = {
+        "stores": silver.cleanse_stores,
+        "customers": silver.parse_customers,
+        "products": silver.parse_products,
+    }[name]
+    return silver.accepted(cleanse(raw(spark, sf_dir, f"r_{name}"), ENV), name)
+
+
 def stores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = silver.cleanse_stores(raw(spark, sf_dir, "r_stores"), ENV)
     earlier = {"total_sqft": F.col("total_sqft") - 1000}
-    return _history(silver.accepted(rows, "stores"), "store_id", earlier)
+    return _history(feed(spark, sf_dir, "stores"), "store_id", earlier)
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = silver.parse_customers(raw(spark, sf_dir, "r_customers"), ENV)
     earlier = {"member_card": F.lit("Starter")}
-    return _history(silver.accepted(rows, "customers"), "customer_id", earlier)
+    return _history(feed(spark, sf_dir, "customers"), "customer_id", earlier)
 
 
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = silver.parse_products(raw(spark, sf_dir, "r_products"), ENV)
     earlier = {"product_retail_price": F.col("product_retail_price") * 0.9}
-    return _history(silver.accepted(rows, "products"), "product_id", earlier)
+    return _history(feed(spark, sf_dir, "products"), "product_id", earlier)
 
 
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:

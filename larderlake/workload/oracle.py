@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import re
 
+from larderlake.plans import schemas
 from larderlake.workload import inputs
 from larderlake.workload.inputs import ENV, FIRST, SECOND
 
@@ -577,6 +578,44 @@ def _needed(sql: str) -> list[str]:
     return list(dict.fromkeys(found))
 
 
+def _versions_of(name: str, earlier: dict[str, str]) -> str:
+    """The history that the two deliveries of a feed give, island by island."""
+    (key,), tracked = schemas.KEYS[name], ", ".join(schemas.TRACKED[name])
+    changed = ", ".join(f"case when {key} % 5 = 0 then {e} else {c} end as {c}" for c, e in earlier.items())
+    order = f"partition by {key} order by bronze_ingestion_time nulls first"
+    return f"""
+        select * exclude (island, opens, back) from (
+            select *, first_value(bronze_ingestion_time) over (partition by {key}, island
+                          order by bronze_ingestion_time nulls first) as "__START_AT",
+                   lead(bronze_ingestion_time) over ({order}) as "__END_AT",
+                   row_number() over (partition by {key}, island
+                          order by bronze_ingestion_time desc nulls last) as back
+            from (select *, sum(cast(opens as int)) over ({order}) as island from (
+                select *, row({tracked}) is distinct from lag(row({tracked})) over ({order}) as opens
+                from (select * from (
+                    select * replace ({changed}), {_FIRST} as bronze_ingestion_time, '{ENV}' as environment
+                    from s_{name}
+                    union all by name select *, {_FIRST} as bronze_ingestion_time, 'a tie' as environment
+                    from s_{name} where {key} % 10 = 0
+                    union all by name select *, {_SECOND} as bronze_ingestion_time, '{ENV}' as environment
+                    from s_{name} where {key} % 5 = 0 or {key} % 7 = 0
+                    union all by name select *, cast(null as timestamp) as bronze_ingestion_time,
+                    '{ENV}' as environment from s_{name} where {key} % 11 = 0)
+                    qualify row_number() over (partition by {key}, bronze_ingestion_time
+                                               order by environment desc) = 1))))
+        where back = 1"""
+
+
+CHECKS |= {
+    f"scd2_{name}": _versions_of(name, earlier)
+    for name, earlier in {
+        "stores": {"total_sqft": "total_sqft - 1000"},
+        "customers": {"member_card": "'Starter'"},
+        "products": {"product_cost": "product_cost * 2"},
+    }.items()
+}
+
+
 def oracle() -> dict[str, str]:
     """Query name to complete SQL text."""
     texts = {}

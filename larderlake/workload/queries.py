@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -385,6 +386,58 @@ def scd2_incremental(spark, sf_dir):
     return _apply_twice(spark, sf_dir, "r_customer_feed", ChangeSpec(**_FEED, buckets=4))
 
 
+#: What the earlier delivery of a feed had in place of today's values.
+_EARLIER = {
+    "stores": {"total_sqft": "total_sqft - 1000"},
+    "customers": {"member_card": "'Starter'"},
+    "products": {"product_cost": "product_cost * 2"},
+}
+
+
+def _deliveries(spark, sf_dir, name: str) -> DataFrame:
+    """Two deliveries of a cleansed feed, with ties and rows without sequence.
+
+    The second changes every fifth key and sends every seventh again as it was. Every tenth comes
+    twice at first, told apart by ``environment``; every eleventh also comes without sequence.
+    """
+    (key,), seq = schemas.KEYS[name], schemas.SEQUENCE
+    rows = inputs.feed(spark, sf_dir, name).drop(*VOLATILE)
+    at = lambda text: F.lit(text).cast("timestamp")
+    changed = F.col(key) % 5 == 0
+    earlier = {c: F.when(changed, F.expr(e)).otherwise(F.col(c)) for c, e in _EARLIER[name].items()}
+    first = rows.withColumns(earlier).withColumn(seq, at(inputs.FIRST))
+    ties = rows.filter(F.col(key) % 10 == 0).withColumn(seq, at(inputs.FIRST))
+    second = rows.filter(changed | (F.col(key) % 7 == 0)).withColumn(seq, at(inputs.SECOND))
+    unsequenced = rows.filter(F.col(key) % 11 == 0).withColumn(seq, F.lit(None).cast("timestamp"))
+    return reduce(
+        DataFrame.unionByName,
+        [first, ties.withColumn("environment", F.lit("a tie")), second, unsequenced],
+    )
+
+
+def _real_history(spark, sf_dir, name: str) -> DataFrame:
+    feed = _deliveries(spark, sf_dir, name)
+    history = scd.scd2_history(
+        feed, schemas.KEYS[name], schemas.SEQUENCE, schemas.TRACKED[name], order=["environment"], hot_rows=2
+    )
+    return result(history)
+
+
+@query
+def scd2_stores(spark, sf_dir):
+    return _real_history(spark, sf_dir, "stores")
+
+
+@query
+def scd2_customers(spark, sf_dir):
+    return _real_history(spark, sf_dir, "customers")
+
+
+@query
+def scd2_products(spark, sf_dir):
+    return _real_history(spark, sf_dir, "products")
+
+
 @query
 def scd1_latest(spark, sf_dir):
     return scd.scd1_latest(raw(spark, sf_dir, "r_region_feed"), ["region_id"], "seq")
