@@ -8,6 +8,7 @@ many to broadcast, one shuffle on the product serves both.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from types import MappingProxyType
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,14 +37,25 @@ def _keyed(lines: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
-def _priced(lines: DataFrame, products: DataFrame) -> DataFrame:
-    """Lines with today's price and cost; lines of unknown products get NULLs."""
-    prices = ["product_retail_price", "product_cost"]
-    return lookup_join(lines, current(products), "product_id", "product_id", prices)
+def _priced(lines: DataFrame, products: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
+    """Lines with today's price and cost; lines of unknown products get NULLs.
 
+    The product dimension, where it is asked for, holds both and the key: one lookup gives all.
+    """
+    wanted = ["product_retail_price", "product_cost"]
+    if "product" in dims:
+        return lookup_join(lines, dims["product"], "product_id", "product_id", [*wanted, "product_sk"])
+    return lookup_join(lines, current(products), "product_id", "product_id", wanted)
+
+
+def _others(dims: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    return {name: d for name, d in dims.items() if name != "product"}
 
-def sales_measures(transactions: DataFrame, products: DataFrame) -> DataFrame:
-    """Sales lines with revenue, cost and profit, before dimension keys."""
+
+def sales_measures(
+    transactions: DataFrame, products: DataFrame, dims: Mapping[str, DataFrame] = MappingProxyType({})
+) -> DataFrame:
+    """Sales lines with revenue, cost and profit; of the keys only the product's, if it is in ``dims``."""
     lines = transactions.select(
         "transaction_date",
         "stock_date",
@@ -56,7 +68,7 @@ def sales_measures(transactions: DataFrame, products: DataFrame) -> DataFrame:
         "transaction_quarter",
     )
     units = F.col("quantity")
-    priced = _priced(lines, products).select(
+    priced = _priced(lines, products, dims).select(
         "*",
         money(units * F.col("product_retail_price")).alias("revenue"),
         money(units * F.col("product_cost")).alias("cost"),
@@ -84,15 +96,17 @@ def fact_sales(
         "quantity",
         "stock_date",
     )
-    keyed = _keyed(sales_measures(transactions, products), dims)
+    keyed = _keyed(sales_measures(transactions, products, dims), _others(dims))
     return keyed.select(sale.alias("sale_sk"), "*", F.current_timestamp().alias("gold_loaded_at"))
 
 
-def returns_measures(returns: DataFrame, products: DataFrame) -> DataFrame:
-    """Return lines with their value and cost, before dimension keys."""
+def returns_measures(
+    returns: DataFrame, products: DataFrame, dims: Mapping[str, DataFrame] = MappingProxyType({})
+) -> DataFrame:
+    """Return lines with their value and cost; of the keys only the product's, if it is in ``dims``."""
     lines = returns.select("return_date", "product_id", "store_id", "quantity", "return_year")
     units = F.col("quantity")
-    measured = _priced(lines, products).select(
+    measured = _priced(lines, products, dims).select(
         "*",
         money(units * F.col("product_retail_price")).alias("return_revenue"),
         money(units * F.col("product_cost")).alias("return_cost"),
@@ -106,5 +120,5 @@ def fact_returns(
 ) -> DataFrame:
     """One row per return line; dimensions the line has no key of are left out."""
     back = surrogate_key("fact_returns", "return_date", "product_id", "store_id", "quantity")
-    keyed = _keyed(returns_measures(returns, products), dims)
+    keyed = _keyed(returns_measures(returns, products, dims), _others(dims))
     return keyed.select(back.alias("return_sk"), "*", F.current_timestamp().alias("gold_loaded_at"))

@@ -141,3 +141,10 @@ def test_queries_do_not_depend_on_broadcasting(spark, name):
         assert rows(QUERIES[name](spark, SF)) == expected
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_products_are_looked_up_once(spark):
+    text = plan(QUERIES["g6_fact_sales"](spark, SF))
+    joins = [line for line in text.splitlines() if "HashJoin" in line or "SortMergeJoin" in line]
+    lookups = [line for line in joins if "LeftOuter" in line]
+    assert len(lookups) == 4
