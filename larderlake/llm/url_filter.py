@@ -77,7 +77,9 @@ def links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
 
 
 def rule_table(spark: SparkSession, rules: list[Rule]) -> DataFrame:
-    return spark.createDataFrame([tuple(r) for r in rules], "verdict string, host string, path string")
+    """(verdict, host, path) of a list of rules."""
+    rows = F.array(*(F.struct(*map(F.lit, r)) for r in rules))
+    return spark.range(1).select(F.inline(rows.cast("array<struct<verdict:string,host:string,path:string>>")))
 
 
 def _ruled(urls: DataFrame, rules: DataFrame) -> DataFrame:
