@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 
 from larderlake.sources.tables import replace_table
 
-#: Groups that see everything.
+#: Groups that see everything where a deployment names no others.
 PRIVILEGED = frozenset({"admins", "engineers"})
 
-#: Fixed value: what replaces a masked text.
+#: What replaces a masked text, and the names of the SQL functions below.
 MASKED_TEXT = "### MASKED ###"
 
 
@@ -21,14 +21,15 @@ MASKED_TEXT = "### MASKED ###"
 class Viewer:
     user: str
     groups: frozenset[str] = frozenset()
+    all_seeing: frozenset[str] = PRIVILEGED
 
     @classmethod
-    def of(cls, user: str, *groups: str) -> Viewer:
-        return cls(user, frozenset(groups))
+    def of(cls, user: str, *groups: str, all_seeing: Iterable[str] = PRIVILEGED) -> Viewer:
+        return cls(user, frozenset(groups), frozenset(all_seeing))
 
     @property
     def privileged(self) -> bool:
-        return bool(self.groups & PRIVILEGED)
+        return bool(self.groups & self.all_seeing)
 
 
 def load_user_regions(

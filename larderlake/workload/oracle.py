@@ -495,6 +495,13 @@ CHECKS: dict[str, str] = {
                cast(sum(total_items_sold) as bigint) as total_items_sold
         from m_regional where sales_region in (select assigned_region from user_region_map
                                                where user_id = 'user_0') group by 1, 2""",
+    "r2_user_regions": "select user_id, assigned_region from user_region_map",
+    "s14_replace": "select n_nationkey, n_name, n_regionkey from nation where n_regionkey <> 0",
+    "s9_layer_read": """
+        select store_id, count(*) as lines, cast(sum(quantity) as bigint) as units
+        from s_transactions group by 1""",
+    "x5_replay": """
+        select cast(store_id as integer) as store_id, count(*) as lines from r_returns group by 1""",
     "a1_latest_update": "select * from a_newest",
     "a2_timing_status": """
         select layer, update_id, start_ts, end_ts, duration_s, status from a_timing""",

@@ -29,8 +29,11 @@ from larderlake.session import configure
 from larderlake.sources import (
     decode_json_value,
     infer_csv_schema,
+    layer_path,
     read_csv_stream,
+    read_layer,
     read_table_stream,
+    replace_table,
     scratch_dir,
     unwrap_json,
     with_lineage,
@@ -734,6 +737,52 @@ def r6_secure_regional(spark, sf_dir):
     return result(by_region, "total_store_revenue")
 
 
+@query
+def r2_user_regions(spark, sf_dir):
+    """Grants replaced by newer ones, read back from the store."""
+    path = f"{scratch_dir(spark, 'grants')}/user_region_map"
+    mapping = raw(spark, sf_dir, "user_region_map")
+    replace_table(mapping.withColumn("assigned_region", F.lit("outdated")), path)
+    replace_table(mapping, path)
+    return spark.read.parquet(path)
+
+
+@query
+def s14_replace(spark, sf_dir):
+    """A table replaced as a whole by fewer rows."""
+    path = f"{scratch_dir(spark, 'replace')}/nations"
+    nations = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    replace_table(nations, path)
+    replace_table(nations.filter("n_regionkey <> 0"), path)
+    return spark.read.parquet(path)
+
+
+@query
+def s9_layer_read(spark, sf_dir):
+    """A table of another layer, as it stands, by layer and name."""
+    root = scratch_dir(spark, "lake")
+    write_table(inputs.transactions(spark, sf_dir), layer_path(root, "silver", "transactions"))
+    stored = read_layer(spark, root, "silver", "transactions")
+    units = F.sum("quantity").alias("units")
+    return stored.groupBy("store_id").agg(F.count("*").alias("lines"), units)
+
+
+@query
+def x5_replay(spark, sf_dir):
+    """A stream run again without new files adds nothing; new files are added once."""
+    landing = _csv_landing(spark, sf_dir, "r_returns", "landing")
+    target = scratch_dir(spark, "bronze")
+    schema = infer_csv_schema(spark, landing)
+    checkpoint = checkpoint_dir(target, ENV, "bronze_return")
+    for delivery in range(3):
+        if delivery == 2:
+            more = raw(spark, sf_dir, "r_returns").drop("ingestion_time", "source_file").limit(0)
+            more.write.mode("append").option("header", True).csv(landing)
+        run_available_now(read_csv_stream(spark, landing, schema), f"{target}/t", checkpoint)
+    stored = spark.read.parquet(f"{target}/t")
+    return stored.groupBy("store_id").agg(F.count("*").alias("lines"))
+
+
 # --- audit ----------------------------------------------------------------------------------------
 
 _RUN = audit.AuditRun("run-1")
