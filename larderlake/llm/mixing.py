@@ -85,18 +85,18 @@ def targets(found: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float
     return rows.select("source", "source_size", target.alias("target"), "docs")
 
 
-def fly(sizes_: np.ndarray, p: np.ndarray, draws: np.ndarray, land: bool) -> np.ndarray:
+def fly(sizes_: np.ndarray, p: np.ndarray, draws: np.ndarray, land: bool, hold: bool = False) -> np.ndarray:
     """Probabilities after the flight; all are 0 or 1 if it lands.
 
     Sums of ``p`` and of ``p * size`` stay while flying. ``draws`` decides the direction of the move
-    after which a document is the next to enter. To land, the last LANDING documents stay on the
-    ground until only they and the one or two that the flight leaves are undecided.
+    after which a document is the next to enter. LANDING documents stay on the ground if ``hold`` is
+    set, undecided; to land, they and the one or two that the flight leaves are decided together.
     """
     q = np.clip(p.astype(float), 0.0, 1.0).tolist()
     s, draws = sizes_.astype(float).tolist(), draws.tolist()
     waiting = [i for i in range(len(q)) if _EPS < q[i] < 1 - _EPS]
-    ground = waiting[max(0, len(waiting) - LANDING) :] if land else []
-    waiting = waiting[: len(waiting) - len(ground)]
+    ground = _grounded(waiting, s) if land or hold else []
+    waiting = [i for i in waiting if i not in ground]
     active: list[int] = []
     for i in waiting:
         active.append(i)
@@ -120,6 +120,13 @@ def fly(sizes_: np.ndarray, p: np.ndarray, draws: np.ndarray, land: bool) -> np.
     return out
 
 
+def _grounded(waiting: list[int], s: list[float]) -> list[int]:
+    """The longest documents, which shorter ones cannot make up for, and as many others."""
+    longest = sorted(waiting, key=lambda i: -s[i])[: LANDING // 2]
+    others = [i for i in waiting if i not in longest]
+    return longest + others[max(0, len(others) - LANDING // 2) :]
+
+
 def _direction(a: float, b: float, c: float) -> tuple[float, float, float]:
     """A move of three documents that changes neither their number nor their words."""
     return (c - b, a - c, b - a) if a != b or b != c else (1.0, -1.0, 0.0)
@@ -136,7 +143,9 @@ def _flight(units: DataFrame, land: bool) -> DataFrame:
     def block(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(["seed", "id", "number", "size"], ignore_index=True)
         draws = (group["seed"].to_numpy() & 0xFFFFFFFF) / 2.0**32
-        group["p"] = fly(group["size"].to_numpy(), group["p"].to_numpy(), draws, land)
+        # One block of a source keeps documents for the landing.
+        hold = int(group["block"].iloc[0]) == 0
+        group["p"] = fly(group["size"].to_numpy(), group["p"].to_numpy(), draws, land, hold)
         return group[list(_UNIT_COLUMNS)]
 
     return units.groupBy("source", "block").applyInPandas(block, _UNIT)
@@ -174,8 +183,8 @@ def mix(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "
         decided.append(flown.where("p = 0 or p = 1"))
         if last:
             break
-        # A block leaves at most two undecided documents.
-        most = 2 * -(-most // BLOCK)
+        # A block leaves at most two undecided documents, and the first those for the landing.
+        most = 2 * -(-most // BLOCK) + LANDING
         left = flown.where("p > 0 and p < 1")
         units = _with_source(left, keep(left.groupBy("source").agg(F.count("*").alias("docs")), "left"))
     taken = _with_source(reduce(DataFrame.unionByName, decided), shares)
