@@ -14,7 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text handled at a time; a longer text is a chunk of its own.
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _WINDOW = np.uint64(0xD6E8FEB86659FD93)
