@@ -31,12 +31,13 @@ MIN_WORD, MIN_PAIR = 2, 3
 #: Entries of the table that are broadcast at once, 12 bytes each.
 BLOCK = 4_000_000
 #: Words counted together before their counts leave a task.
-FLUSH = 1 << 22
+FLUSH = 1 << 20
 #: Counts merged together, about; decides the number of groups.
 GROUP = 1 << 20
 
-#: Stands before the first word. Keys below 2**32 are single words, others pairs.
-_BEGIN = np.uint64(1)
+#: Stands before the first word. Keys below 2**32 are single words, others pairs; key 0 stands for
+#: all words that are unknown.
+_UNKNOWN, _BEGIN = 0, np.uint64(1)
 _LOW = np.uint64(0xFFFFFFFF)
 _GROUPS = np.uint64(0x9E3779B97F4A7C15)
 
@@ -64,6 +65,9 @@ def _unpacked(data: bytes) -> np.ndarray:
 def counts(texts: DataFrame, groups: int) -> DataFrame:
     """(key, background, target) of (target, text): counts of words and pairs over all texts.
 
+    Pairs that occur less than MIN_PAIR times in the background are left out, and words less than
+    MIN_WORD times added up as unknown, in one row a group. Key 1 counts texts with a word.
+
     A task combines what it counts, and sends it on as packed arrays by group of keys; a group merges
     arrays of many tasks. A key is one entry of a task's array however often it occurs.
     """
@@ -87,8 +91,8 @@ def counts(texts: DataFrame, groups: int) -> DataFrame:
                 [
                     pa.array([g for g, _ in rows], pa.int64()),
                     pa.array([_packed(every[x]) for _, x in rows], pa.binary()),
-                    pa.array([number[x].astype(np.int64).tobytes() for _, x in rows], pa.binary()),
-                    pa.array([in_target[x].astype(np.int64).tobytes() for _, x in rows], pa.binary()),
+                    pa.array([number[x].astype(np.int32).tobytes() for _, x in rows], pa.binary()),
+                    pa.array([in_target[x].astype(np.int32).tobytes() for _, x in rows], pa.binary()),
                 ],
                 names=["group", "keys", "background", "target"],
             )
@@ -98,6 +102,8 @@ def counts(texts: DataFrame, groups: int) -> DataFrame:
             for first, w in hashed_words(batch.column(1), LETTERS):
                 n = np.diff(w.bounds)
                 flag = np.repeat(flags[first : first + len(n)], n)
+                begins = flags[first : first + len(n)][n > 0]
+                waiting.append((np.full(len(begins), _BEGIN), begins))
                 for keys in _keys(w):
                     waiting.append((keys, flag))
                     size += len(keys)
@@ -111,42 +117,45 @@ def counts(texts: DataFrame, groups: int) -> DataFrame:
         keys = np.concatenate([_unpacked(x) for x in group["keys"]])
         order = np.argsort(keys, kind="stable")
         heads = np.flatnonzero(np.diff(keys[order], prepend=keys[order][:1] + np.uint64(1)))
-        out = {"key": keys[order][heads].view(np.int64)}
+        keys, sums = keys[order][heads], []
         for name in ("background", "target"):
-            number = np.concatenate([np.frombuffer(x, dtype=np.int64) for x in group[name]])
-            out[name] = np.add.reduceat(number[order], heads)
+            number = np.concatenate([np.frombuffer(x, dtype=np.int32) for x in group[name]]).astype(np.int64)
+            sums.append(np.add.reduceat(number[order], heads))
+        single = keys <= _LOW
+        known = sums[0] >= np.where(single, MIN_WORD, MIN_PAIR)
+        known |= keys == _BEGIN
+        rare = single & ~known
+        out = {"key": np.append(keys[known].view(np.int64), _UNKNOWN)}
+        for name, number in zip(("background", "target"), sums, strict=True):
+            out[name] = np.append(number[known], number[rare].sum())
         return pd.DataFrame(out)
 
     packed = texts.select("target", "text").mapInArrow(count, "group long, keys binary, background binary, target binary")
     return packed.groupBy("group").applyInPandas(merge, "key long, background long, target long")
 
 
-def difference_table(found: DataFrame, begins: tuple[int, int]) -> DataFrame:
+def difference_table(found: DataFrame) -> DataFrame:
     """(key, gain) of counts: log P_target - log P_background of a word, and what a known pair adds to it.
 
-    ``begins`` are the numbers of background and target texts with a word. The row with key 0 is the
-    unknown word's.
+    The row with key 0 is the unknown word's.
     """
     both = ("background", "target")
-    single = F.col("key").between(0, (1 << 32) - 1)
-    words = found.where(single)
-    known = words.where(F.col("background") >= MIN_WORD)
-    total = words.agg(*(F.sum(x) for x in both)).first()
+    known = found.where(F.col("key").between(2, (1 << 32) - 1))
     sums = known.agg(F.count("*"), *(F.sum(x) for x in both)).first()
+    rest = found.where(F.col("key") == _UNKNOWN).agg(*(F.sum(x) for x in both)).first()
     size = sums[0] + 1
-    n = {x: (total[i] or 0) + size for i, x in enumerate(both)}
-    unknown = {x: ((total[i] or 0) - (sums[i + 1] or 0) + 1) / n[x] for i, x in enumerate(both)}
+    n = {x: (sums[i + 1] or 0) + (rest[i] or 0) + size for i, x in enumerate(both)}
+    unknown = {x: ((rest[i] or 0) + 1) / n[x] for i, x in enumerate(both)}
     p = {x: (F.col(x) + 1) / float(n[x]) for x in both}
     vocabulary = keep(known.select("key", *both, *(p[x].alias(f"p_{x}") for x in both)), "vocabulary")
     spark = found.sparkSession
     unigrams = vocabulary.select("key", (F.log("p_target") - F.log("p_background")).alias("gain"))
     rest = spark.createDataFrame([(0, float(np.log(unknown["target"] / unknown["background"])))], "key long, gain double")
 
-    pairs = found.where(~single & (F.col("background") >= MIN_PAIR))
+    pairs = found.where(~F.col("key").between(0, (1 << 32) - 1))
     word = F.col("key").bitwiseAND((1 << 32) - 1)
     pairs = pairs.withColumn("word", word).withColumn("before", F.shiftrightunsigned("key", 32))
-    first = spark.createDataFrame([(int(_BEGIN), *map(int, begins))], "key long, background long, target long")
-    left = vocabulary.select("key", *both).unionByName(first)
+    left = vocabulary.select("key", *both).unionByName(found.where(F.col("key") == int(_BEGIN)))
     left = left.select(F.col("key").alias("before"), *(F.col(x).alias(f"before_{x}") for x in both))
     right = vocabulary.select(F.col("key").alias("word"), *(f"p_{x}" for x in both))
     rows = pairs.join(left, "before").join(right, "word")
@@ -171,9 +180,7 @@ def learn(docs: DataFrame, target: DataFrame, id: str = "doc_id", text: str = "t
     # About a word in six bytes of text, and each is counted once more in its pair.
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     found = keep(counts(flagged, max(1, size // 3 // GROUP)), "counts")
-    begin = F.shiftrightunsigned("key", 32) == int(_BEGIN)
-    begins = found.where(begin).agg(F.sum("background"), F.sum("target")).first()
-    return keep(difference_table(found, (begins[0] or 0, begins[1] or 0)), "differences")
+    return keep(difference_table(found), "differences")
 
 
 def score(docs: DataFrame, table: DataFrame, out: str = "lm", text: str = "text") -> DataFrame:
