@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from larderlake.llm.tables import empty_or_null, free_name, keep
+from larderlake.llm.tables import checked, empty_or_null, free_name, keep
 from larderlake.llm.words import buffers, chunks, code_points, mix
 
 #: Characters of the longest n-grams.
@@ -195,6 +195,14 @@ def kneser_ney(languages: list[str], grams: np.ndarray, counts: np.ndarray) -> M
     return out
 
 
+def _distinct(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A number for each value, and where each number first occurs."""
+    of, values = pd.factorize(hashes)
+    first = np.zeros(len(values), dtype=np.int64)
+    first[of[::-1]] = np.arange(len(of) - 1, -1, -1)
+    return of, first
+
+
 def _columns(codes: np.ndarray, bounds: np.ndarray, order: int) -> list[np.ndarray]:
     return [codes.astype(np.uint64), *(_shifted(codes, bounds, i) for i in range(1, order))]
 
@@ -206,9 +214,7 @@ def cross_entropy(model: Model, codes: np.ndarray, bounds: np.ndarray) -> np.nda
     out = np.zeros((len(length), len(model.languages)))
     if not len(codes):
         return out
-    of, _ = pd.factorize(_hashes(columns)[-1])
-    first = np.zeros(of.max() + 1, dtype=np.int64)
-    first[of[::-1]] = np.arange(len(of) - 1, -1, -1)
+    of, first = _distinct(_hashes(columns)[-1])
     logp = model.log_probability([c[first] for c in columns])
     full = np.flatnonzero(length)
     out[full] = -np.add.reduceat(logp[of], bounds[:-1][full], axis=0) / length[full, None]
@@ -228,8 +234,10 @@ def _counted(labelled: DataFrame) -> DataFrame:
                 row += n
                 if not len(codes):
                     continue
-                columns = np.stack([label, *_columns(codes, bounds, ORDER)]).astype(np.uint32)
-                found, counts = np.unique(columns, axis=1, return_counts=True)
+                columns = [label, *_columns(codes, bounds, ORDER)]
+                of, first = _distinct(_hashes(columns)[-1])
+                found = np.stack([c[first] for c in columns]).astype(np.uint32)
+                counts = np.bincount(of)
                 grams = np.ascontiguousarray(found[1:].T).view(f"<U{ORDER}").ravel().tolist()
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -258,7 +266,7 @@ def learn(labelled: DataFrame, id: str = "doc_id", text: str = "text", lang: str
     counts = rows.groupBy("lang").count().select("lang", (F.lit(float(sample)) / F.col("count")).alias("rate"))
     draw = F.pmod(F.xxhash64(F.lit("sample"), "id"), F.lit(1 << 30)) / float(1 << 30)
     kept = F.pmod(F.xxhash64(F.lit("calibration"), "id"), F.lit(CALIBRATION))
-    taken = rows.withColumn("draw", draw).join(counts, "lang").where("draw < rate").select("lang", "text", kept.alias("part"))
+    taken = rows.withColumn("draw", draw).join(checked(counts), "lang").where("draw < rate").select("lang", "text", kept.alias("part"))
     taken = keep(taken, "sample")
     grams = _counted(taken.where("part <> 0")).toPandas()
     languages = sorted(grams["lang"].unique())
