@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from larderlake.llm.tables import empty_or_null
+from larderlake.llm.tables import empty_or_null, keep
 
 # --- fixed value: how the vocabulary's own splitter cuts a text before the merges -----------------
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -58,7 +58,7 @@ def histogram(lengths: DataFrame) -> DataFrame:
     longer. No texts give no rows. Stretches of lengths are summed on their own before the running
     sum over stretches, so no task sees all lengths.
     """
-    found = lengths.groupBy("length").agg(F.count("*").alias("docs"))
+    found = keep(lengths.groupBy("length").agg(F.count("*").alias("docs")), "lengths")
     found = found.withColumn("tokens", F.col("length") * F.col("docs"))
     found = found.withColumn("stretch", F.floor(F.col("length") / STRETCH))
     longer = Window.orderBy(F.desc("stretch")).rowsBetween(Window.unboundedPreceding, -1)
