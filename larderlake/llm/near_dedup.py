@@ -3,17 +3,20 @@
 Every text's set of five-word shingles gets a signature of VALUES MinHash values. A tree of the
 forest is one order of these values; texts that share a prefix of DEPTH values in a tree form a
 region. Texts of regions with more than REGION texts get longer prefixes (adaptive depth) and, as a
-longer prefix is shared less often, so many more orders that similar texts still meet; what the
-longest prefix leaves too large is cut into blocks that a leader holds together.
+longer prefix is shared less often, so many more orders that similar texts still meet. What the
+longest prefix leaves too large is cut into blocks, first by hash, then in pairs (step 4).
 
 1. Equal sets fall into classes first; from here on a class is one text.
 2. The texts of each region of the first orders are compared on their whole sets, all at once in a
    task that holds the region; so are pairs that stand alone in any order, if their signatures agree
    enough. Links give components.
 3. Regions of the other orders are compared if they hold texts of different components.
+4. Where a region too large for one task still holds different components, all its texts of
+   different components meet: it is cut into blocks, and a task compares two of them.
 
 A region leaves one link per text at most, and no pairs travel: groups of thousands of near copies
-cost as many rows as they have texts. Two texts with similarity 0.85 miss each other in all of the
+cost as many rows as they have texts. Only texts that are no copies of each other and still agree in
+the longest prefix, more than REGION of them, are sent once for each block of their region. Two texts with similarity 0.85 miss each other in all of the
 24 orders of the first depth with probability (1 - 0.85**5)**24 < 1e-6.
 """
 
@@ -128,13 +131,15 @@ def _prefixes(signatures: DataFrame, depth: int, percent: int) -> DataFrame:
     return rows.select("id", F.struct(F.lit(depth).alias("depth"), "tree").alias("tree"), "key")
 
 
-def forest(signatures: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Regions (tree, key, block, id) of three to REGION texts, and pairs (a, b) of smaller ones.
+def forest(signatures: DataFrame, percent: int) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    """Regions (tree, key, block, id) of three to REGION texts, pairs (a, b) of smaller ones, and
+    (tree, key, id) of the regions that the longest prefix leaves too large, if there are any.
 
-    ``signatures`` has (id, signature). The leaders of regions that the longest prefix cannot divide
-    are paired with each text there, in the first orders.
+    ``signatures`` has (id, signature). Regions that are too large are also among the others, in
+    blocks by hash, and their leaders are paired with each text there in the first orders: that
+    brings most copies together before all blocks meet.
     """
-    regions, pairs = [], []
+    regions, pairs, crowded = [], [], None
     for depth in (DEPTH, *DEEPER):
         last = depth == DEEPER[-1]
         prefixes = _prefixes(signatures, depth, percent)
@@ -149,10 +154,11 @@ def forest(signatures: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
         regions.append(small.select("tree", "key", block, "id"))
         if last:
             pairs.append(large.where(F.col("tree")["tree"] < FIRST).select("a", F.col("id").alias("b")))
+            crowded = None if large.isEmpty() else large.select("tree", "key", "id")
         if last or large.isEmpty():
             break
         signatures = keep(signatures.join(checked(keep(large.select("id").distinct(), "large")), "id", "left_semi"), "dense")
-    return reduce(DataFrame.unionByName, regions), reduce(DataFrame.unionByName, pairs)
+    return reduce(DataFrame.unionByName, regions), reduce(DataFrame.unionByName, pairs), crowded
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:
@@ -179,6 +185,34 @@ def _mixed(regions: DataFrame, components: DataFrame) -> DataFrame:
     return regions.join(spread.where("low <> high").select(*region), region, "left_semi")
 
 
+def _meetings(crowded: DataFrame, components: DataFrame) -> DataFrame:
+    """(tree, key, block, id): tasks in which all texts of a large region meet those of other components.
+
+    A component with many texts in a region fills blocks of its own, the small ones share blocks; each
+    task has two blocks. Blocks of the same component need not meet.
+    """
+    part, region = max(1, REGION // 2), ["tree", "key"]
+    named = crowded.join(components.withColumnRenamed("node", "id"), "id", "left")
+    named = keep(named.select(*region, "id", F.coalesce("component", "id").alias("component")), "crowded")
+    sizes = keep(named.groupBy(*region, "component").agg(F.count("*").alias("n")), "sizes")
+    own = F.col("n") > part // 2
+    totals = sizes.groupBy(*region).agg(F.count("*").alias("components"), F.sum(F.when(own, 0).otherwise(F.col("n"))).alias("rest"))
+    totals = keep(totals.where("components > 1"), "totals")
+    rows = named.join(checked(totals), region).join(checked(sizes), [*region, "component"])
+    parts = F.ceil(F.when(own, F.col("n")).otherwise(F.col("rest")) / part)
+    number = F.pmod(F.xxhash64(F.when(own, F.col("id")).otherwise(F.col("component"))), parts)
+    single = F.when(own, F.col("component"))
+    name = F.concat_ws(":", F.coalesce(single.cast("string"), F.lit("small")), number)
+    rows = keep(rows.select(*region, "id", single.alias("single"), name.alias("part")), "blocks")
+    blocks = keep(rows.select(*region, "single", "part").distinct(), "blocks")
+    left = blocks.select(*region, F.col("single").alias("one"), F.col("part").alias("left"))
+    right = blocks.select(*region, F.col("single").alias("two"), F.col("part").alias("right"))
+    both = left.join(right, region).where("left <= right and (one is null or two is null or one <> two)")
+    part_ = F.explode(F.array_distinct(F.array("left", "right"))).alias("part")
+    tasks = keep(both.select(*region, F.concat_ws("|", "left", "right").alias("block"), part_), "tasks")
+    return rows.join(checked(tasks), [*region, "part"]).select(*region, "block", "id")
+
+
 def _common(found: list[np.ndarray]) -> np.ndarray:
     """Sizes of the intersections of all sets with each other."""
     values, codes = np.unique(np.concatenate(found), return_inverse=True)
@@ -244,6 +278,16 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "left", "right").mapInArrow(check, "a long, b long")
 
 
+def _merged(components: DataFrame, more: DataFrame) -> DataFrame:
+    """Components after more links between texts."""
+    # Only links between components count; most repeat what is known.
+    names = components.select(F.col("node").alias("a"), F.col("component").alias("one"))
+    others = components.select(F.col("node").alias("b"), F.col("component").alias("two"))
+    fresh = more.distinct().join(names, "a", "left").join(others, "b", "left")
+    fresh = fresh.select(F.coalesce("one", "a").alias("a"), F.coalesce("two", "b").alias("b")).where("a <> b")
+    return merge_components(components, keep(fresh, "links"))
+
+
 def link_components(docs: DataFrame, percent: int = PERCENT, id: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, n_shingles, component_id, kept) for every document.
 
@@ -263,7 +307,7 @@ def link_components(docs: DataFrame, percent: int = PERCENT, id: str = "doc_id",
     able = usable.where(F.size("signature") > 0).select("n", "k1", "k2", "id", "signature")
     firsts = checked(classes.withColumnRenamed("class", "id"))
     signatures = keep(able.join(firsts, ["id", "n", "k1", "k2"], "left_semi").select("id", "signature"), "signatures")
-    regions, pairs = forest(signatures, percent)
+    regions, pairs, crowded = forest(signatures, percent)
     regions, pairs = keep(regions, "regions"), keep(_agreeing(_ordered(pairs), signatures, percent), "pairs")
     involved = regions.select("id").unionByName(pairs.select(F.explode(F.array("a", "b")).alias("id"))).distinct()
     texts = keep(texts.join(checked(keep(involved, "involved")), "id", "left_semi"), "texts")
@@ -273,12 +317,11 @@ def link_components(docs: DataFrame, percent: int = PERCENT, id: str = "doc_id",
     components = connected_components(links)
     rest = _mixed(regions.where(F.col("tree")["tree"] >= FIRST), components)
     more = keep(_region_links(rest, texts, percent), "links")
-    # Only links between components count; most repeat what is known.
-    names = components.select(F.col("node").alias("a"), F.col("component").alias("one"))
-    others = components.select(F.col("node").alias("b"), F.col("component").alias("two"))
-    fresh = more.distinct().join(names, "a", "left").join(others, "b", "left")
-    fresh = fresh.select(F.coalesce("one", "a").alias("a"), F.coalesce("two", "b").alias("b")).where("a <> b")
-    components = merge_components(components, keep(fresh, "links"))
+    components = _merged(components, more)
+    for orders in ("tree.tree < {}", "tree.tree >= {}") if crowded is not None else ():
+        components = keep(components, "components")
+        tasks = keep(_meetings(crowded.where(orders.format(FIRST)), components), "regions")
+        components = _merged(components, keep(_region_links(tasks, texts, percent), "links"))
     rows = found.select("id", "n", "k1", "k2").join(classes, ["n", "k1", "k2"], "left")
     rows = rows.withColumn("class", F.when(F.col("n") > 0, F.col("class")))
     rows = rows.join(components.withColumnRenamed("node", "class"), "class", "left")

@@ -56,6 +56,23 @@ def test_components_equal_brute_force(spark, monkeypatch, region):
     assert rows == brute(docs)
 
 
+def test_pairs_in_a_mass_just_under_the_threshold(spark, monkeypatch):
+    """Forms that are 0.83 alike fill regions that no prefix divides; some pairs of them are 0.86 alike."""
+    monkeypatch.setattr(nd, "REGION", 16)
+    monkeypatch.setattr(nd, "DEEPER", (8,))
+    form = " ".join(f"form{i}" for i in range(184))
+    own = lambda name, n: [f"{name}x{i}" for i in range(n)]
+    docs = []
+    for i in range(300):
+        # Shingles in common: 180, and 3 more with the partner; 18 of each text are not in the form.
+        words = own(f"p{i // 2}", 3) + own(f"t{i}", 15) if i < 120 else own(f"t{i}", 18)
+        docs.append((i, f"{form} " + " ".join(words)))
+    expected = brute(docs)
+    assert sum(not stays for _, _, _, stays in expected) == 60
+    found = nd.link_components(spark.createDataFrame(docs, "doc_id long, text string"))
+    assert sorted((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in found.collect()) == expected
+
+
 def test_pipeline_threshold(spark):
     docs = corpus(25, 150, seed=2)
     kept = nd.drop_near_copies(spark.createDataFrame(docs, "doc_id long, text string"), 80)
