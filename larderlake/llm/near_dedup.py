@@ -1,10 +1,10 @@
 """Near duplicates by an LSH forest over MinHash signatures, confirmed on whole shingle sets.
 
-Every text's set of five-word shingles gets a signature of VALUES MinHash values. A tree of the
-forest is one order of these values; texts that share a prefix of DEPTH values in a tree form a
-region. Texts of regions with more than REGION texts get longer prefixes (adaptive depth) and, as a
-longer prefix is shared less often, so many more orders that similar texts still meet. What the
-longest prefix leaves too large is cut into blocks, first by hash, then in pairs (step 4).
+Every text's set of five-word shingles gets a signature of MinHash values. A tree of the forest takes
+DEPTH values of its own; texts that share these form a region. Texts of regions with more than REGION
+texts get longer prefixes (adaptive depth) of fresh values and, as a longer prefix is shared less
+often, so many more trees that similar texts still meet. What the longest prefix leaves too large is
+cut into blocks, first by hash, then in pairs (step 4).
 
 1. Equal sets fall into classes first; from here on a class is one text.
 2. The texts of each region of the first orders are compared on their whole sets, all at once in a
@@ -16,14 +16,16 @@ longest prefix leaves too large is cut into blocks, first by hash, then in pairs
 
 A region leaves one link per text at most, and no pairs travel: groups of thousands of near copies
 cost as many rows as they have texts. Only texts that are no copies of each other and still agree in
-the longest prefix, more than REGION of them, are sent once for each block of their region. Two texts with similarity 0.85 miss each other in all of the
-24 orders of the first depth with probability (1 - 0.85**5)**24 < 1e-6.
+the longest prefix, more than REGION of them, are sent once for each block of their region.
+
+No value is used twice, so trees are independent: two texts of the least similarity p miss each other
+in all n trees of a depth with probability (1 - p**depth)**n <= MISS, and at all four depths, if they
+are in dense areas, with at most four times that.
 """
 
 from __future__ import annotations
 
 import math
-import random
 from collections.abc import Iterator
 from functools import reduce
 
@@ -38,11 +40,11 @@ from larderlake.llm.words import VISIBLE, hashed_words, mix, windows
 SHINGLE = 5
 #: Link texts with 100 * intersection >= PERCENT * union.
 PERCENT = 85
-TREES, DEPTH = 24, 5
+DEPTH = 5
 #: Longer prefixes for texts in regions of more than REGION texts.
 DEEPER = (8, 11, 15)
 REGION = 1024
-#: Probability, about, that similar texts meet in no order of a deeper level.
+#: Probability at most that similar texts meet in no order of a depth.
 MISS = 1e-6
 #: Orders of each depth whose regions are all compared.
 FIRST = 3
@@ -50,10 +52,8 @@ FIRST = 3
 #: compared: a similar pair is left out with a probability under 1e-7.
 SHORT = 5.5
 
-VALUES = TREES * DEPTH
-_ADD = mix(np.arange(1, VALUES + 1, dtype=np.uint64)).astype(np.uint32)
-_FACTOR = mix(np.arange(1, VALUES + 1, dtype=np.uint64) + np.uint64(1 << 40)).astype(np.uint32) | np.uint32(1)
-_STEP = 1024
+#: Hash values that are worked out together.
+_STEP = 1 << 17
 #: Shingles of a region that are looked at together.
 _COLUMNS = 8192
 
@@ -72,12 +72,35 @@ def _sets(texts: pa.Array) -> Iterator[np.ndarray]:
                 yield found[fresh]
 
 
-def _signature(found: np.ndarray) -> np.ndarray:
+def trees(depth: int, percent: int) -> int:
+    """Orders of a depth, so many that texts of the least similarity share a prefix in some order."""
+    return math.ceil(math.log(MISS) / math.log1p(-((percent / 100) ** depth))) if percent < 100 else 1
+
+
+def _functions(depth: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """What the hash functions of a depth's values add and multiply with; each depth has its own."""
+    place = np.arange(1, trees(depth, percent) * depth + 1, dtype=np.uint64)
+    place += np.uint64((depth << 24) * (depth != DEPTH))
+    return mix(place).astype(np.uint32), mix(place + np.uint64(1 << 40)).astype(np.uint32) | np.uint32(1)
+
+
+def _signature(found: np.ndarray, functions: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
     """MinHash values of a set that is not empty."""
+    add, factor = functions
     x = (found >> np.uint64(32)).astype(np.uint32)
-    out = np.full(VALUES, 0xFFFFFFFF, dtype=np.uint32)
-    for i in range(0, len(x), _STEP):
-        np.minimum(out, ((x[i : i + _STEP, None] ^ _ADD) * _FACTOR).min(axis=0), out=out)
+    out = np.full(len(add), 0xFFFFFFFF, dtype=np.uint32)
+    step = max(1, _STEP // len(add))
+    for i in range(0, len(x), step):
+        np.minimum(out, ((x[i : i + step, None] ^ add) * factor).min(axis=0), out=out)
+    return out
+
+
+def _keys(found: np.ndarray, depth: int, functions: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """The prefix of a set in each order of a depth, as a hash of its values."""
+    values = _signature(found, functions).reshape(-1, depth).astype(np.uint64)
+    out = np.zeros(len(values), dtype=np.uint64)
+    for i in range(depth):
+        out = mix(out ^ values[:, i]) + np.uint64(i + 1)
     return out
 
 
@@ -91,7 +114,8 @@ def features(docs: DataFrame, percent: int) -> DataFrame:
 
     Sets that can only equal others have no signature.
     """
-    least = _least_size(percent)
+    least, functions = _least_size(percent), _functions(DEPTH, percent)
+    length = len(functions[0])
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -100,8 +124,8 @@ def features(docs: DataFrame, percent: int) -> DataFrame:
                 n.append(len(found))
                 k1.append(int(mix(found).sum(dtype=np.uint64).view(np.int64)))
                 k2.append(int(mix(found ^ np.uint64(0xA5A5A5A5A5A5A5A5)).sum(dtype=np.uint64).view(np.int64)))
-                values.append(_signature(found).view(np.int32) if len(found) >= least else None)
-            offsets = np.cumsum([0] + [VALUES * (v is not None) for v in values], dtype=np.int32)
+                values.append(_signature(found, functions).view(np.int32) if len(found) >= least else None)
+            offsets = np.cumsum([0] + [length * (v is not None) for v in values], dtype=np.int32)
             flat = np.concatenate([v for v in values if v is not None] or [np.zeros(0, dtype=np.int32)])
             signature = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
             columns = [batch.column(0), *(pa.array(c, pa.int64()) for c in (n, k1, k2)), signature]
@@ -110,39 +134,41 @@ def features(docs: DataFrame, percent: int) -> DataFrame:
     return docs.mapInArrow(make, "id long, n long, k1 long, k2 long, signature array<int>")
 
 
-def _orders(depth: int, percent: int) -> list[list[int]]:
-    """Places of the values that each order of a depth begins with, from 1.
+def _prefixes(signatures: DataFrame, percent: int) -> DataFrame:
+    """(id, tree, key): the prefix of each text in each order of the first depth, which take its values in turn."""
+    starts = F.array(*(F.lit(t * DEPTH + 1) for t in range(trees(DEPTH, percent))))
+    key = lambda i: F.xxhash64(F.slice("signature", i, DEPTH))
+    rows = signatures.select("id", F.posexplode(F.transform(starts, key)).alias("tree", "key"))
+    return rows.select("id", F.struct(F.lit(DEPTH).alias("depth"), "tree").alias("tree"), "key")
 
-    The first depth takes all values in turn; deeper ones draw theirs, so many that texts of the
-    least similarity share a prefix in some order.
-    """
-    if depth == DEPTH:
-        return [list(range(t * DEPTH + 1, (t + 1) * DEPTH + 1)) for t in range(TREES)]
-    n = math.ceil(math.log(MISS) / math.log1p(-((percent / 100) ** depth)))
-    draw = random.Random(depth)
-    return [[i + 1 for i in draw.sample(range(VALUES), depth)] for _ in range(n)]
-
-
-def _prefixes(signatures: DataFrame, depth: int, percent: int) -> DataFrame:
-    """(id, tree, key): the prefix of each text in each order of a depth."""
-    orders = F.array(*(F.array(*map(F.lit, o)) for o in _orders(depth, percent)))
-    key = lambda o: F.xxhash64(F.transform(o, lambda i: F.element_at("signature", i)))
-    rows = signatures.select("id", F.posexplode(F.transform(orders, key)).alias("tree", "key"))
+
+def _longer_prefixes(texts: DataFrame, depth: int, percent: int) -> DataFrame:
+    """(id, tree, key) of texts (id, text) for a deeper level, from values that no other level uses."""
+    least, functions = _least_size(percent), _functions(depth, percent)
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = [_keys(x, depth, functions).view(np.int64) if len(x) >= least else [] for x in _sets(batch.column(1))]
+            column = pa.array(keys, pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), column], names=["id", "keys"])
+
+    rows = texts.select("id", "text").mapInArrow(make, "id long, keys array<long>")
+    rows = rows.select("id", F.posexplode("keys").alias("tree", "key"))
     return rows.select("id", F.struct(F.lit(depth).alias("depth"), "tree").alias("tree"), "key")
 
 
-def forest(signatures: DataFrame, percent: int) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+def forest(signatures: DataFrame, texts: DataFrame, percent: int) -> tuple[DataFrame, DataFrame, DataFrame | None]:
     """Regions (tree, key, block, id) of three to REGION texts, pairs (a, b) of smaller ones, and
     (tree, key, id) of the regions that the longest prefix leaves too large, if there are any.
 
-    ``signatures`` has (id, signature). Regions that are too large are also among the others, in
+    ``signatures`` has (id, signature), ``texts`` (id, text). Regions that are too large are also among the others, in
     blocks by hash, and their leaders are paired with each text there in the first orders: that
     brings most copies together before all blocks meet.
     """
     regions, pairs, crowded = [], [], None
     for depth in (DEPTH, *DEEPER):
         last = depth == DEEPER[-1]
-        prefixes = _prefixes(signatures, depth, percent)
+        prefixes = _prefixes(signatures, percent) if depth == DEPTH else _longer_prefixes(texts, depth, percent)
         sizes = prefixes.groupBy("tree", "key").agg(F.count("*").alias("size"), F.min("id").alias("a"), F.max("id").alias("b"))
         sizes = keep(sizes.where("size > 1"), "sizes")
         pairs.append(sizes.where("size = 2").select("a", "b"))
@@ -157,7 +183,7 @@ def forest(signatures: DataFrame, percent: int) -> tuple[DataFrame, DataFrame, D
             crowded = None if large.isEmpty() else large.select("tree", "key", "id")
         if last or large.isEmpty():
             break
-        signatures = keep(signatures.join(checked(keep(large.select("id").distinct(), "large")), "id", "left_semi"), "dense")
+        texts = keep(texts.join(checked(keep(large.select("id").distinct(), "large")), "id", "left_semi"), "dense")
     return reduce(DataFrame.unionByName, regions), reduce(DataFrame.unionByName, pairs), crowded
 
 
@@ -167,8 +193,8 @@ def _ordered(pairs: DataFrame) -> DataFrame:
 
 def _agreeing(pairs: DataFrame, signatures: DataFrame, percent: int) -> DataFrame:
     """The pairs whose signatures agree in as many values as similar sets do."""
-    p = percent / 100
-    least = int(VALUES * p - SHORT * (VALUES * p * (1 - p)) ** 0.5)
+    p, values = percent / 100, trees(DEPTH, percent) * DEPTH
+    least = int(values * p - SHORT * (values * p * (1 - p)) ** 0.5)
     a = signatures.select(F.col("id").alias("a"), F.col("signature").alias("left"))
     b = signatures.select(F.col("id").alias("b"), F.col("signature").alias("right"))
     both = pairs.join(a, "a").join(b, "b")
@@ -307,7 +333,7 @@ def link_components(docs: DataFrame, percent: int = PERCENT, id: str = "doc_id",
     able = usable.where(F.size("signature") > 0).select("n", "k1", "k2", "id", "signature")
     firsts = checked(classes.withColumnRenamed("class", "id"))
     signatures = keep(able.join(firsts, ["id", "n", "k1", "k2"], "left_semi").select("id", "signature"), "signatures")
-    regions, pairs, crowded = forest(signatures, percent)
+    regions, pairs, crowded = forest(signatures, texts, percent)
     regions, pairs = keep(regions, "regions"), keep(_agreeing(_ordered(pairs), signatures, percent), "pairs")
     involved = regions.select("id").unionByName(pairs.select(F.explode(F.array("a", "b")).alias("id"))).distinct()
     texts = keep(texts.join(checked(keep(involved, "involved")), "id", "left_semi"), "texts")

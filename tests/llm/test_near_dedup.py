@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 
 from larderlake.llm import near_dedup as nd
@@ -73,6 +74,22 @@ def test_pairs_in_a_mass_just_under_the_threshold(spark, monkeypatch):
     assert sorted((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in found.collect()) == expected
 
 
+@pytest.mark.parametrize("percent", [85, 80])
+@pytest.mark.parametrize("depth", [5, 8, 11, 15])
+def test_orders_of_a_depth_fail_independently(percent, depth):
+    """Pairs at the threshold share as few prefixes as trees with values of their own let expect."""
+    functions, n, p = nd._functions(depth, percent), nd.trees(depth, percent), (percent / 100) ** depth
+    assert len(set(zip(*(x.tolist() for x in functions)))) == n * depth and (1 - p) ** n <= nd.MISS
+    rnd, shared = np.random.default_rng(depth), []
+    for _ in range(300):
+        common, own = 4 * percent, 2 * (100 - percent)
+        x = rnd.integers(0, 1 << 64, common + 2 * own, dtype=np.uint64)
+        a, b = (nd._keys(y, depth, functions) for y in (x[: common + own], np.delete(x, slice(common, common + own))))
+        shared.append(int((a == b).sum()))
+    # Drawn from few values, orders share much: the spread was several times that of independent ones.
+    assert min(shared) > 0 and np.var(shared) < 2 * n * p and abs(np.mean(shared) / (n * p) - 1) < 0.15
+
+
 def test_pipeline_threshold(spark):
     docs = corpus(25, 150, seed=2)
     kept = nd.drop_near_copies(spark.createDataFrame(docs, "doc_id long, text string"), 80)
