@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larderlake.llm.spans import matches, overlaps, splice
+from larderlake.llm.spans import MATCH, matches, no_matches, overlaps, splice
 from larderlake.llm.tables import empty_or_null, free_name
 
 #: Kinds that are reported whatever their score, in the order of reports.
@@ -28,6 +28,12 @@ PATTERNS = {
     "ssn": r"[0-9]{3}-[0-9]{2}-[0-9]{4}",
 }
 
+#: Where an account number may begin, and all that may belong to it with the character after that. Only
+#: the four characters are consumed, so that a number is found also right after another one.
+IBAN_HEAD = rf"[A-Z]{{2}}[0-9]{{2}}(?![A-Z0-9]{{31}})(?=({PATTERNS['iban'].removeprefix('[A-Z]{2}[0-9]{2}')}[A-Za-z0-9]?))"
+#: Letters and digits of an account number.
+IBAN_LENGTHS = range(15, 35)
+
 #: Score of a confirmed span without context.
 PRIOR = {"email": 0.9, "ip": 0.6, "card": 0.8, "phone": 0.7, "iban": 0.9, "local_phone": 0.4, "ssn": 0.4}
 #: Words near a span that make its kind likelier.
@@ -89,12 +95,54 @@ def _confirmed(kind: str, span: Column) -> Column:
         return digits.between(13, 19) & luhn(digits_of(found))
     if kind == "phone":
         return digits.between(9, 15)
-    if kind == "iban":
-        account = F.replace(found, F.lit(" "), F.lit(""))
-        return F.length(account).between(15, 34) & mod97(account)
     return F.lit(True)
 
 
+def _account(found: Column) -> Column:
+    """The account number that a string begins with, null if none does.
+
+    Of those that end where a word does the longest that mod 97 confirms; else all that the pattern
+    fits, if that is confirmed.
+    """
+    tries = []
+    for n in reversed(IBAN_LENGTHS):
+        fours, tail = divmod(n - 4, 4)
+        end = rf"\x20?[A-Z0-9]{{{tail}}}" if tail else ""
+        shape = rf"^[A-Z]{{2}}[0-9]{{2}}(?:\x20?[A-Z0-9]{{4}}){{{fours}}}{end}(?![A-Za-z0-9])"
+        tries.append(F.regexp_extract(found, shape, 0))
+    tries.append(F.regexp_extract(found, PATTERNS["iban"], 0))
+
+    def good(x: Column) -> Column:
+        account = F.replace(x, F.lit(" "), F.lit(""))
+        return F.length(account).between(IBAN_LENGTHS[0], IBAN_LENGTHS[-1]) & mod97(account)
+
+    return F.get(F.filter(F.array(*tries), good), F.lit(0))
+
+
+def _accounts(text: Column, gate: Column) -> Column:
+    """The account numbers in a text, as matches; of overlapping ones the first."""
+    heads = matches(text, IBAN_HEAD, "iban", gate)
+    rests = F.when(F.size(heads) > 0, F.regexp_extract_all(text, F.lit(IBAN_HEAD), F.lit(1)))
+    every = F.transform(
+        F.arrays_zip(heads.alias("head"), F.coalesce(rests, F.array().cast("array<string>")).alias("rest")),
+        lambda x: F.struct(
+            x["head"]["start"].alias("start"), _account(F.concat(x["head"]["found"], x["rest"])).alias("found")
+        ),
+    )
+    found = F.transform(
+        F.filter(every, lambda x: x["found"].isNotNull()),
+        lambda x: F.struct(
+            F.lit("iban").alias("kind"),
+            x["start"].alias("start"),
+            (x["start"] + F.length(x["found"])).alias("end"),
+            x["found"].alias("found"),
+        ),
+    ).cast(MATCH)
+    last = lambda out: F.coalesce(F.get(out, F.size(out) - 1)["end"], F.lit(0))
+    add = lambda out, s: F.when(s["start"] >= last(out), F.concat(out, F.array(s))).otherwise(out).cast(MATCH)
+    return F.aggregate(found, no_matches(), add)
+
+
 def _score(text: Column, span: Column, kind: str) -> Column:
     left = F.greatest(span["start"] - REACH, F.lit(0))
     before = F.substr(text, left + 1, span["start"] - left)
@@ -114,11 +162,13 @@ def find_pii(docs: DataFrame, out: str = "pii", text: str = "text") -> DataFrame
     ``out`` it must be given another name.
     """
     source = empty_or_null(docs[f"`{text}`"])
-    base, digit = free_name(docs, "base"), free_name(docs, "has_digit")
+    base, digit, account = (free_name(docs, name) for name in ("base", "has_digit", "account"))
     df = docs.withColumn(digit, source.rlike("[0-9]"))
     gates = {"email": F.contains(source, F.lit("@")), "phone": F.contains(source, F.lit("+")) & F.col(digit)}
 
     def proposals(kind: str) -> Column:
+        if kind == "iban":
+            return F.col(account)
         found = matches(source, PATTERNS[kind], kind, gates.get(kind, F.col(digit)))
         return F.filter(found, lambda s: _confirmed(kind, s))
 
@@ -134,7 +184,7 @@ def find_pii(docs: DataFrame, out: str = "pii", text: str = "text") -> DataFrame
         ).cast(SPAN)
 
     # Two steps, so that the added kinds see the base spans without finding them again.
-    df = df.withColumn(base, F.concat(*(scored(proposals(k), k) for k in BASE)))
+    df = df.withColumns({base: F.concat(*(scored(proposals(k), k) for k in BASE)), account: _accounts(source, F.col(digit))})
     more = [
         F.filter(
             scored(F.filter(proposals(k), lambda s: ~overlaps(s, F.col(base))), k), lambda s: s["score"] >= MIN_SCORE
@@ -149,7 +199,7 @@ def find_pii(docs: DataFrame, out: str = "pii", text: str = "text") -> DataFrame
         F.array_sort(order),
         lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"), s["score"].alias("score")),
     )
-    return df.withColumn(out, spans).drop(base, digit)
+    return df.withColumn(out, spans).drop(base, digit, account)
 
 
 def redact(docs: DataFrame, text: str = "text") -> DataFrame:

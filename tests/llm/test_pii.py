@@ -66,6 +66,17 @@ def test_added_kinds_need_checksum_or_context(spark):
     assert pii.find_pii(alone).first().pii == []
 
 
+def test_account_numbers_before_words_and_numbers(spark):
+    numbers = ["ES91 2100 0418 4502 0005 1332", "BE68 5390 0754 7034", "AT61 1904 3002 3457 3201", "DE89370400440532013000"]
+    texts = [f"{n}{after}" for n in numbers for after in ("", " Please", " A", " BIC X", " 12", " 2023 was", ".", "\n1")]
+    texts += [" ".join(numbers), "AB12" * 20_000, "GB82WEST12345698765432and", "BE68 5390 0754 7035 Danke"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    found = {r.doc_id: [texts[r.doc_id][s.start : s.end] for s in r.pii if s.kind == "iban"] for r in pii.find_pii(docs).collect()}
+    expected = [[n] for n in numbers for _ in range(8)] + [numbers, [], ["GB82WEST12345698765432"], []]
+    assert [found[i] for i in range(len(texts))] == expected
+    assert pii.redact(docs.where("doc_id = 1")).first().text == "<IBAN> Please"
+
+
 @pytest.mark.parametrize("text", TEXTS[:6])
 def test_redacted_texts_hold_nothing(spark, text):
     docs = spark.createDataFrame([(1, text)], "doc_id int, text string")
