@@ -47,14 +47,41 @@ def normal_form(url: Column) -> Column:
     return F.when(F.contains(url, F.lit("://")), F.concat(host, F.regexp_replace(path, "/+$", ""), query)).otherwise(url)
 
 
-def _absolute(target: Column, url: Column) -> Column:
-    """A link target as it reads from a page; null if it is relative to the page's folder."""
-    scheme, host = F.substring_index(url, "://", 1), parts(url)[0]
-    return (
-        F.when(F.contains(target, F.lit("://")), target)
-        .when(target.startswith("//"), F.concat(scheme, F.lit(":"), target))
-        .when(target.startswith("/"), F.concat(scheme, F.lit("://"), host, target))
+def _without_dots(path: Column) -> Column:
+    """A path that begins with a slash, its ``.`` and ``..`` segments resolved."""
+    none = F.array().cast("array<string>")
+
+    def add(out: Column, part: Column) -> Column:
+        up = F.slice(out, F.lit(1), F.greatest(F.size(out) - 1, F.lit(0)))
+        return F.when(part == "..", up).when(part == ".", out).otherwise(F.concat(out, F.array(part)))
+
+    kept = F.aggregate(F.split(F.substr(path, F.lit(2)), "/"), none, add)
+    # A dot segment at the end leaves its folder.
+    end = F.when(path.rlike(r"/\.\.?$") & (F.size(kept) > 0), "/").otherwise("")
+    return F.when(F.contains(path, F.lit("/.")), F.concat(F.lit("/"), F.array_join(kept, "/"), end)).otherwise(path)
+
+
+def _absolute(target: Column, base: Column) -> Column:
+    """A link target as it reads from a base URL; null if it is empty or no page's (``mailto:``).
+
+    Relative targets need a base with ``://``.
+    """
+    host, path = parts(base)
+    site = F.concat(F.substring_index(base, "://", 1), F.lit("://"), host)
+    path = F.when(path == "", "/").otherwise(path)
+    joined = (
+        F.when((target == "") | target.isNull(), None)
+        .when(target.rlike("^[A-Za-z][A-Za-z0-9+.-]*://"), target)
+        .when(target.rlike("^[A-Za-z][A-Za-z0-9+.-]*:") | ~F.contains(base, F.lit("://")), None)
+        .when(target.startswith("//"), F.concat(F.substring_index(base, "://", 1), F.lit(":"), target))
+        .when(target.startswith("/"), F.concat(site, target))
+        .when(target.startswith("?"), F.concat(site, path, target))
+        .when(target.startswith("#"), F.concat(F.substring_index(base, "#", 1), target))
+        .otherwise(F.concat(site, F.regexp_extract(path, "(?s)^(.*/)", 1), target))
     )
+    pieces = r"(?s)^([^:]*://[^/?#]*)([^?#]*)(.*)$"
+    site, path, rest = (F.regexp_extract(joined, pieces, i) for i in (1, 2, 3))
+    return F.when(F.contains(joined, F.lit("/.")), F.concat(site, _without_dots(path), rest)).otherwise(joined)
 
 
 def _tags(html: Column, name: str, having: str, value: str) -> Column:
@@ -63,16 +90,21 @@ def _tags(html: Column, name: str, having: str, value: str) -> Column:
 
 
 def links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """(url, target): redirects and canonical links of pages, once each."""
+    """(url, target): redirects and canonical links of pages, once each; ``<base href>`` is their base."""
     rows = pages.select(pages[f"`{url}`"].alias("url"), empty_or_null(pages[f"`{html}`"]).alias("html"))
     source = F.col("html")
     canonical = _tags(source, "link", r"""(?i)\brel\s*=\s*["']?canonical\b""", r"""(?i)\bhref\s*=\s*["']?([^"'\s>]+)""")
     refresh = _tags(source, "meta", r"""(?i)\bhttp-equiv\s*=\s*["']?refresh\b""", r"""(?i)\burl\s*=\s*["']?([^"'\s>]+)""")
     none = F.array().cast("array<string>")
-    declared = F.when(source.rlike(r"(?i)canonical|refresh"), F.concat(canonical, refresh)).otherwise(none)
+    has = source.rlike(r"(?i)canonical|refresh")
+    declared = F.when(has, F.concat(canonical, refresh)).otherwise(none)
+    based = _tags(source, "base", r"(?i)\bhref\s*=", r"""(?i)\bhref\s*=\s*["']?([^"'\s>]+)""")
+    based = F.when(has & source.rlike("(?i)<base"), F.get(based, F.lit(0)))
     redirector = F.try_url_decode(F.regexp_extract("url", REDIRECT_PARAMETERS, 1))
-    found = rows.where("url is not null").select("url", F.explode(F.concat(declared, F.array(redirector))).alias("target"))
-    found = found.select("url", _absolute(F.col("target"), F.col("url")).alias("target"))
+    rows = rows.where("url is not null").select("url", F.concat(declared, F.array(redirector)).alias("targets"), based.alias("base"))
+    rows = rows.select("url", F.coalesce(_absolute(F.col("base"), F.col("url")), "url").alias("base"), "targets")
+    found = rows.select("url", "base", F.explode("targets").alias("target"))
+    found = found.select("url", _absolute(F.col("target"), F.col("base")).alias("target"))
     return found.where("target is not null and target <> url").distinct()
 
 

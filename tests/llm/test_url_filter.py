@@ -53,6 +53,21 @@ def test_blocks_reach_aliases_and_allows_come_first(spark):
     assert found[4] == found[5] == found[6] == "allow"
 
 
+@pytest.mark.parametrize("base", ["", "<BASE href='/c/d/'>", "<base href='//o.org/c/d/e?f'>"])
+def test_relative_targets(spark, base):
+    site, folder = {"": ("http://h.org", "/a/b/"), "<B": ("http://h.org", "/c/d/")}.get(base[:2], ("http://o.org", "/c/d/"))
+    page, up = {"": "/a/b/p"}.get(base, "/c/d/e" if "o.org" in base else "/c/d/"), folder.split("/")[1]
+    forms = {
+        "x.html": f"{folder}x.html", "./x": f"{folder}x", "../x": f"/{up}/x", "../../../x": "/x", "..": f"/{up}/", "?id=2": f"{page}?id=2",
+        "x?u=http://y/../z": f"{folder}x?u=http://y/../z", "/k/./l/../m": "/k/m", "mailto:x@y.z": None,
+    }
+    rows = [(f"http://h.org/a/b/p?n={i}", f"{base}<link rel=canonical href='{t}'>") for i, t in enumerate(forms)]
+    rows += [(f"http://h.org/a/b/p?m={i}", f"{base}<meta http-equiv=refresh content='0; url={t}'>") for i, t in enumerate(forms)]
+    found = u.links(spark.createDataFrame(rows, "url string, html string")).collect()
+    expected = {(f"http://h.org/a/b/p?{k}={i}", site + x) for k in "nm" for i, x in enumerate(forms.values()) if x}
+    assert {(r.url, r.target) for r in found} == expected
+
+
 def test_empty_and_repeated(spark):
     rules = u.rule_table(spark, RULES)
     none = spark.createDataFrame([], "page_id long, url string, html string, node string, rule string")
