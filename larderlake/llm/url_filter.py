@@ -27,6 +27,8 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Query parameters that carry the URL a redirector goes to, and those that only track visitors.
 REDIRECT_PARAMETERS = r"(?i)[?&](?:url|u|target|dest|destination|redirect|redirect_url|next|to)=(https?(?:%3A|:)(?:%2F|/){2}[^&#]+)"
 TRACKING_PARAMETERS = r"(?i)(?<=[?&])(?:utm_[a-z]+|gclid|fbclid|mc_[a-z]+)=[^&#]*&?"
+#: The value of a link, in quotes with the blanks in it.
+HREF = r"""(?i)\bhref\s*=\s*["']?((?<=["'])[^"'>]+|[^"'\s>]+)"""
 
 
 def parts(url: Column) -> tuple[Column, Column]:
@@ -86,19 +88,20 @@ def _absolute(target: Column, base: Column) -> Column:
 
 def _tags(html: Column, name: str, having: str, value: str) -> Column:
     tags = F.filter(F.regexp_extract_all(html, F.lit(rf"(?i)(<{name}\b[^>]*>)")), lambda t: t.rlike(having))
-    return F.transform(tags, lambda t: F.replace(F.regexp_extract(t, value, 1), F.lit("&amp;"), F.lit("&")))
+    found = F.transform(tags, lambda t: F.replace(F.trim(F.regexp_extract(t, value, 1)), F.lit("&amp;"), F.lit("&")))
+    return F.transform(found, lambda t: F.replace(t, F.lit(" "), F.lit("%20")))
 
 
 def links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """(url, target): redirects and canonical links of pages, once each; ``<base href>`` is their base."""
     rows = pages.select(pages[f"`{url}`"].alias("url"), empty_or_null(pages[f"`{html}`"]).alias("html"))
     source = F.col("html")
-    canonical = _tags(source, "link", r"""(?i)\brel\s*=\s*["']?canonical\b""", r"""(?i)\bhref\s*=\s*["']?([^"'\s>]+)""")
+    canonical = _tags(source, "link", r"""(?i)\brel\s*=\s*["']?canonical\b""", HREF)
     refresh = _tags(source, "meta", r"""(?i)\bhttp-equiv\s*=\s*["']?refresh\b""", r"""(?i)\burl\s*=\s*["']?([^"'\s>]+)""")
     none = F.array().cast("array<string>")
     has = source.rlike(r"(?i)canonical|refresh")
     declared = F.when(has, F.concat(canonical, refresh)).otherwise(none)
-    based = _tags(source, "base", r"(?i)\bhref\s*=", r"""(?i)\bhref\s*=\s*["']?([^"'\s>]+)""")
+    based = _tags(source, "base", r"(?i)\bhref\s*=", HREF)
     based = F.when(has & source.rlike("(?i)<base"), F.get(based, F.lit(0)))
     redirector = F.try_url_decode(F.regexp_extract("url", REDIRECT_PARAMETERS, 1))
     rows = rows.where("url is not null").select("url", F.concat(declared, F.array(redirector)).alias("targets"), based.alias("base"))

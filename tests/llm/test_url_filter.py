@@ -68,6 +68,12 @@ def test_relative_targets(spark, base):
     assert {(r.url, r.target) for r in found} == expected
 
 
+def test_blanks_in_quoted_links(spark):
+    rows = [("http://h.org/a/b", "<link rel=canonical href=' my page.html '><link rel='canonical' href=x title='y'>")]
+    found = u.links(spark.createDataFrame(rows, "url string, html string")).collect()
+    assert {r.target for r in found} == {"http://h.org/a/my%20page.html", "http://h.org/a/x"}
+
+
 def test_empty_and_repeated(spark):
     rules = u.rule_table(spark, RULES)
     none = spark.createDataFrame([], "page_id long, url string, html string, node string, rule string")
