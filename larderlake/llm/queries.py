@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from larderlake.llm import (
+    conversations,
     credentials,
     decontaminate,
     language,
@@ -343,6 +344,109 @@ ORACLE["op10_near_dedup"] = f"""
 """
 
 
+#: DuckDB has no crc32: bytes run through the table that belongs to its polynomial.
+CRC_TABLE = """(select list(list_reduce(range(9), lambda c, i: case when i = 0 then n else
+    xor(c >> 1, (c & 1) * 3988292384) end, n) order by n) t from range(256) u(n))"""
+
+
+def sql_crc32(text: str) -> str:
+    """DuckDB: unsigned crc32 of a string's UTF-8; a column ``t`` holds the table."""
+    data = f"hex(encode({text}))"
+    bytes = f"list_transform(range(1, length({data}), 2), lambda k: cast('0x' || {data}[k:k + 1] as bigint))"
+    return f"xor(list_reduce({bytes}, lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295), 4294967295)"
+
+
+def damaged(conversations: DataFrame) -> DataFrame:
+    """Rows as broken transcripts have them, by a hash of conversation and turn; a null counts as one space."""
+    space = F.lit(" ")
+    part = [F.coalesce(F.col(name).cast("string"), space) for name in ("conv_id", "turn")]
+    damage = F.crc32(F.concat_ws(":", *part)) % 20
+    role, text = (F.coalesce(F.col(name), space) for name in ("role", "text"))
+    rows = conversations.select("conv_id", "turn", role.alias("role"), text.alias("text"), damage.alias("damage"))
+    return rows.where("damage <> 0").select(
+        "conv_id",
+        "turn",
+        F.when(F.col("damage") == 4, "user").otherwise(F.col("role")).alias("role"),
+        F.when(F.col("damage") == 1, "").when(F.col("damage") == 2, F.translate("text", ".!?", "")).otherwise(F.col("text")).alias("text"),
+        F.explode(F.when(F.col("damage") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("copy"),
+    ).drop("copy")
+
+
+@query
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cheapest repair of every damaged conversation."""
+    table = read(spark, sf_dir, "conversations")
+    rows = damaged(table)
+    found = conversations.repaired_digests(rows, conversations.plan_repairs(rows)).withColumnRenamed("conv_id", "found_id")
+    every = table.select("conv_id").distinct().join(found, F.col("conv_id").eqNullSafe(F.col("found_id")), "left")
+    return every.select(
+        "conv_id",
+        *(F.coalesce(name, F.lit(0)).alias(name) for name in conversations.PLAN),
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
+def _repair_sql() -> str:
+    """Edits from the last row to the first; a way is its cost in 12 digits and its letters, so the least string wins."""
+
+    def way(cost: str, letter: str, rest: str) -> str:
+        return f"lpad((substr({rest}, 1, 12)::bigint + {cost})::varchar, 12, '0') || '{letter}' || substr({rest}, 13)"
+
+    due = {"n": "u", "s": "u", "u": "a", "a": "u"}
+    kept = {"n": {"s": "s", "u": "u"}, "s": {"u": "u"}, "u": {"a": "a"}, "a": {"u": "u"}}
+    moves = []
+    for q in due:
+        keeps = " ".join(f"when initial = '{k}' then {way('more', 'K', f'p.{to}')}" for k, to in kept[q].items())
+        moves.append(f"""least({way("2", "D", f"p.{q}")}, case when not forced then least({way("1 + more", "R", f"p.{due[q]}")},
+            case {keeps} end) end) as {q}""")
+    inserts = [f"least({q}, {way('5', 'I', due[q])}, {way('10', 'II', due[due[q]])}) as {q}" for q in due]
+    return f"""
+    with recursive crc as {CRC_TABLE},
+    raw as (select conv_id, turn, coalesce(role, ' ') r, coalesce(text, ' ') x,
+        {sql_crc32("coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ')")} % 20 d from conversations, crc),
+    torn as (select conv_id, turn, case when d = 4 then 'user' else r end r,
+        case d when 1 then '' when 2 then translate(x, '.!?', '') else x end x
+        from raw, unnest(case when d = 3 then [0, 1] else [0] end) u(i) where d <> 0),
+    placed as (select *, row_number() over (partition by conv_id order by turn nulls first, r, sha256(x)) i from torn),
+    faulty as (select *, rtrim(x, chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' ') y,
+        row_number() over (partition by conv_id, r, x order by i) > 1 again from placed),
+    fault as (select conv_id, turn, i, r, x, substr(r, 1, 1) initial, case when y = '' then 'blank' when again then 'duplicate'
+        when right(y, 1) not in ('.', '!', '?') then 'truncated' end f from faulty),
+    steps as (select conv_id, i, initial, coalesce(f in ('blank', 'duplicate'), false) forced, case when f = 'truncated' then 5 else 0 end more
+        from fault),
+    summary as (select conv_id, max(i) n, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) gaps,
+        count(*) filter (where f = 'blank') blank, count(*) filter (where f = 'duplicate') duplicate,
+        count(*) filter (where f = 'truncated') truncated from fault group by 1),
+    pairs as (select conv_id, count(*) filter (where before is not null and before || initial not in ('su', 'ua', 'au')) illegal from (
+        select conv_id, initial, lag(initial) over (partition by conv_id order by i) before from fault) group by 1),
+    back as (
+        select conv_id, n i, lpad('', 12, '0') n, lpad('10', 12, '0') || 'II' s, lpad('5', 12, '0') || 'I' u, lpad('', 12, '0') a from summary
+        union all
+        select conv_id, i, {", ".join(inserts)} from (
+            select p.conv_id, p.i - 1 i, {", ".join(moves)}
+            from back p join steps e on e.conv_id is not distinct from p.conv_id and e.i = p.i)),
+    plan as (select conv_id, substr(n, 1, 12)::bigint cost, substr(n, 13) audit from back where i = 0),
+    letters as (select conv_id, k, audit[k] letter from plan, unnest(range(1, length(audit) + 1)) u(k)),
+    walked as (select conv_id, k, letter, count(*) filter (where letter <> 'I') over w i,
+        count(*) filter (where letter <> 'D') over w j from letters window w as (partition by conv_id order by k)),
+    edited as (select w.conv_id, k, j, letter, r, x, initial from walked w
+        join fault e on e.conv_id is not distinct from w.conv_id and e.i = greatest(w.i, 1) where letter <> 'D'),
+    begun as (select conv_id, max((j = 1 and letter = 'K' and initial = 's')::int) sys from edited group by 1),
+    repaired as (select e.conv_id, sha256(string_agg(case when letter = 'K' then r when (j - sys) % 2 = 1 then 'user' else 'assistant' end
+        || ':' || case when letter = 'I' then '' else x end, chr(10) order by k)) digest
+        from edited e join begun b on e.conv_id is not distinct from b.conv_id group by 1)
+    select c.conv_id, {", ".join(f"coalesce({x}, 0)::bigint {x}" for x in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost"))},
+      coalesce(audit, '') audit, coalesce(digest, sha256('')) repaired_sha256
+    from (select distinct conv_id from conversations) c
+    left join summary s on s.conv_id is not distinct from c.conv_id left join pairs t on t.conv_id is not distinct from c.conv_id
+    left join plan p on p.conv_id is not distinct from c.conv_id left join repaired d on d.conv_id is not distinct from c.conv_id
+    """
+
+
+ORACLE["op11_conversation_repair"] = _repair_sql()
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The training corpus that all stages together make of the documents."""

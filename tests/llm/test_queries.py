@@ -21,7 +21,7 @@ def ordered(columns, data):
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "pages", "benchmark", "labels"):
+    for table in ("documents", "pages", "benchmark", "labels", "conversations"):
         con.sql(f"create view {table} as select * from '{SF}/{table}.parquet'")
     df, wanted = QUERIES[name](spark, SF), con.sql(ORACLE[name])
     assert ordered(df.columns, df.collect()) == ordered(list(wanted.columns), wanted.fetchall())
@@ -29,7 +29,7 @@ def test_query_equals_sql(spark, name):
 
 def test_every_operator_has_a_query():
     numbers = {name.split("_")[0] for name in QUERIES if name.startswith("op")}
-    assert numbers == {f"op{i}" for i in range(1, 11)} and "pipeline" in QUERIES
+    assert numbers == {f"op{i}" for i in range(1, 14)} and "pipeline" in QUERIES
 
 
 def test_pipeline_stages(spark):
