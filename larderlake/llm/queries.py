@@ -18,7 +18,9 @@ from larderlake.llm import (
     mixing,
     near_dedup,
     pii,
+    quality,
     search,
+    spelling,
     token_lengths,
     url_filter,
 )
@@ -447,6 +449,51 @@ def _repair_sql() -> str:
 ORACLE["op11_conversation_repair"] = _repair_sql()
 
 
+#: Of so many hashes of a run in a document one means a slip of the pen: a letter is lost.
+SLIPS = 97
+
+
+@query
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents, slips of the pen among them, with the forms and roots they vary."""
+    runs = spelling.runs(read(spark, sf_dir, "documents"))
+    h, run = F.crc32(F.concat("id", F.lit(":"), "run")), F.col("run")
+    lost = (h % F.length(run)).cast("int")
+    torn = F.concat(F.substr(run, F.lit(1), lost), F.substr(run, lost + 2))
+    return spelling.group_variants(spelling.count_words(runs, F.when(h % SLIPS == 0, torn).otherwise(run)))
+
+
+ORACLE["op12_spelling_variants"] = f"""
+    with recursive crc as {CRC_TABLE},
+    run as (select id, w, count(*) c from (select coalesce(doc_id::varchar, '') id, unnest(regexp_extract_all(
+        translate(coalesce(text, ''), '{spelling.UPPER}', '{spelling.LOWER}'), '[a-z\u00C0-\u00FF]+')) w from documents) group by all),
+    hashed as (select w, c, {sql_crc32("id || ':' || w")} h from run, crc),
+    torn as (select case when h % {SLIPS} = 0 then substr(w, 1, (h % length(w))::bigint) || substr(w, (h % length(w))::bigint + 2) else w end word, c from hashed),
+    words as (select word, sum(c)::bigint n from torn where length(word) >= {spelling.MIN_LENGTH} group by 1 having n >= {spelling.MIN_COUNT}),
+    less as (select distinct word, substr(word, 1, i - 1) || substr(word, i + 1) cut from words, unnest(range(1, length(word) + 1)) u(i)),
+    hole as (select word, i, substr(word, 1, i - 1) || '?' || substr(word, i + 1) cut from words, unnest(range(1, length(word) + 1)) u(i)),
+    half as (select a.word a, b.word b from less a join words b on a.cut = b.word),
+    near as (select a, b from half union all select b, a from half
+        union all select a.word, b.word from hole a join hole b on a.cut = b.cut and a.i = b.i and a.word <> b.word),
+    ranked as (select a, b, n, count(*) over (partition by a) n_near,
+        row_number() over (partition by a order by n desc, encode(b)) r from near join words on b = word),
+    formed as (select w.word, case when r.n >= {spelling.TIMES} * w.n then b end form, w.n, coalesce(n_near, 0) n_near,
+        case when r.n >= {spelling.TIMES} * w.n then r.n end form_n from words w left join ranked r on r.a = w.word and r.r = 1),
+    road as (select word, word at, 0 step from words
+        union all select road.word, form, step + 1 from road join formed f on f.word = road.at where form is not null)
+    select word, form, arg_max(at, step) root, any_value(n)::bigint n, any_value(n_near)::bigint n_near, any_value(form_n)::bigint form_n
+    from formed join road using (word) group by word, form
+"""
+
+
+@query
+def op13_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measures of every document, the probability that it is good, and whether it is kept."""
+    found = quality.judge(read(spark, sf_dir, "documents"), carry=["doc_id"])
+    base = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "p_good")
+    return found.select("doc_id", *(F.col(f"quality.{name}").alias(name) for name in base))
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The training corpus that all stages together make of the documents."""
