@@ -479,9 +479,9 @@ ORACLE["op12_spelling_variants"] = f"""
         row_number() over (partition by a order by n desc, encode(b)) r from near join words on b = word),
     formed as (select w.word, case when r.n >= {spelling.TIMES} * w.n then b end form, w.n, coalesce(n_near, 0) n_near,
         case when r.n >= {spelling.TIMES} * w.n then r.n end form_n from words w left join ranked r on r.a = w.word and r.r = 1),
-    road as (select word, word at, 0 step from words
-        union all select road.word, form, step + 1 from road join formed f on f.word = road.at where form is not null)
-    select word, form, arg_max(at, step) root, any_value(n)::bigint n, any_value(n_near)::bigint n_near, any_value(form_n)::bigint form_n
+    road as (select word, word place, 0 step from words
+        union all select road.word, form, step + 1 from road join formed f on f.word = road.place where form is not null)
+    select word, form, arg_max(place, step) root, any_value(n)::bigint n, any_value(n_near)::bigint n_near, any_value(form_n)::bigint form_n
     from formed join road using (word) group by word, form
 """
 
