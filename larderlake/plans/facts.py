@@ -37,15 +37,17 @@ def _keyed(lines: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
-def _priced(lines: DataFrame, products: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
+def _priced(lines: DataFrame, products: DataFrame | None, dims: Mapping[str, DataFrame]) -> DataFrame:
     """Lines with today's price and cost; lines of unknown products get NULLs.
 
-    The product dimension, where it is asked for, holds both and the key: one lookup gives all.
+    Prices are those of the current products. Only where ``products`` is None does the product
+    dimension give them, and then the key in the same lookup.
     """
     wanted = ["product_retail_price", "product_cost"]
-    if "product" in dims:
+    if products is None:
         return lookup_join(lines, dims["product"], "product_id", "product_id", [*wanted, "product_sk"])
-    return lookup_join(lines, current(products), "product_id", "product_id", wanted)
+    priced = lookup_join(lines, current(products), "product_id", "product_id", wanted)
+    return _keyed(priced, {name: d for name, d in dims.items() if name == "product"})
 
 
 def _others(dims: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
@@ -53,7 +55,7 @@ def _others(dims: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
 
 
 def sales_measures(
-    transactions: DataFrame, products: DataFrame, dims: Mapping[str, DataFrame] = MappingProxyType({})
+    transactions: DataFrame, products: DataFrame | None, dims: Mapping[str, DataFrame] = MappingProxyType({})
 ) -> DataFrame:
     """Sales lines with revenue, cost and profit; of the keys only the product's, if it is in ``dims``."""
     lines = transactions.select(
@@ -81,11 +83,12 @@ def sales_measures(
 
 
 def fact_sales(
-    transactions: DataFrame, products: DataFrame, dims: Mapping[str, DataFrame]
+    transactions: DataFrame, products: DataFrame | None, dims: Mapping[str, DataFrame]
 ) -> DataFrame:
     """One row per sales line. ``sale_sk`` hashes the line's values: equal lines share it.
 
-    ``dims`` maps any of product, customer, store and date to its dimension.
+    ``dims`` maps any of product, customer, store and date to its dimension. Without ``products``
+    the product dimension gives prices as well.
     """
     sale = surrogate_key(
         "fact_sales",
@@ -101,7 +104,7 @@ def fact_sales(
 
 
 def returns_measures(
-    returns: DataFrame, products: DataFrame, dims: Mapping[str, DataFrame] = MappingProxyType({})
+    returns: DataFrame, products: DataFrame | None, dims: Mapping[str, DataFrame] = MappingProxyType({})
 ) -> DataFrame:
     """Return lines with their value and cost; of the keys only the product's, if it is in ``dims``."""
     lines = returns.select("return_date", "product_id", "store_id", "quantity", "return_year")
@@ -116,7 +119,7 @@ def returns_measures(
 
 
 def fact_returns(
-    returns: DataFrame, products: DataFrame, dims: Mapping[str, DataFrame]
+    returns: DataFrame, products: DataFrame | None, dims: Mapping[str, DataFrame]
 ) -> DataFrame:
     """One row per return line; dimensions the line has no key of are left out."""
     back = surrogate_key("fact_returns", "return_date", "product_id", "store_id", "quantity")

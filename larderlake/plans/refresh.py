@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larderlake.operators.quality import RuleSet, apply_rules
-from larderlake.plans import dims, facts, marts, schemas, silver
+from larderlake.plans import dims, facts, marts, partials, schemas, silver
 from larderlake.plans.rules import RULES
 from larderlake.sources import (
     append_table,
@@ -30,8 +30,10 @@ from larderlake.streaming import (
     apply_changes_stream,
     checkpoint_dir,
     quality_metrics,
+    read_accepted,
     read_history,
     run_available_now,
+    run_checked,
     stream_static_join,
 )
 
@@ -143,7 +145,8 @@ def refresh_silver(
 ) -> None:
     """Bring the named silver tables up to date; ``options`` go to ``ChangeSpec``.
 
-    Stores come before orders, which are enriched with them.
+    Stores come before orders, which are enriched with them. Lines and events that break a drop rule
+    stay in their table's quarantine (``streaming.read_quarantined``).
     """
 
     def bronze(name: str) -> DataFrame:
@@ -158,10 +161,10 @@ def refresh_silver(
                 log.flow(table, _counts(apply_changes_stream(rows, target, check, spec), table))
         for table, (source, cleanse) in _APPENDED.items():
             if table in tables:
-                rows, _ = apply_rules(cleanse(bronze(source), env, strict), RULES[table])
+                rows = cleanse(bronze(source), env, strict)
                 target, check = layer_path(root, "silver", table), checkpoint_dir(root, env, table)
                 by = schemas.PARTITIONS.get(table, ())
-                log.flow(table, _counts(run_available_now(rows, target, check, by), table))
+                log.flow(table, run_checked(rows, RULES[table], target, check, by).counts)
         if "orders" in tables:
             orders = silver.normalise_orders(bronze("bronze_orders_kafka"), strict)
             kept, _ = apply_rules(orders, RULES["orders"])
@@ -183,15 +186,17 @@ def _counts(query, table: str) -> dict[str, int]:
 
 
 def refresh_gold(spark: SparkSession, root: str, years: Sequence[int] | None = None) -> None:
-    """Rebuild dimensions, facts and marts from silver.
+    """Rebuild dimensions and marts, and facts and their partial sums from silver.
 
     Each table is stored before the next reads it, so joins are planned on true sizes. With
     ``years`` only those partitions of the facts are read, recomputed and replaced; lines are never
-    removed from silver, so no partition empties.
+    removed from silver, so no partition empties. Marts of sales come from partial sums by month, of
+    which only the months of these years are summed anew.
     """
 
     def read(table: str) -> DataFrame:
-        return read_layer(spark, root, "silver", table)
+        path = layer_path(root, "silver", table)
+        return read_accepted(spark, path) if table in _APPENDED else read_layer(spark, root, "silver", table)
 
     def history(table: str) -> DataFrame:
         return read_history(spark, layer_path(root, "silver", table))
@@ -227,11 +232,13 @@ def refresh_gold(spark: SparkSession, root: str, years: Sequence[int] | None = N
         store("fact_sales", facts.fact_sales(sold, products, keyed), years is not None)
         store("fact_returns", facts.fact_returns(returned, products, keyed), years is not None)
 
-        sales = gold("fact_sales")
-        store("agg_executive_overview", marts.executive_overview(sales))
-        store("agg_regional_sales", marts.regional_sales(sales, keyed["store"]))
-        store("agg_customer_ltv", marts.customer_ltv(sales, keyed["customer"]))
-        store("agg_store_space_utilization", marts.store_space(sales, keyed["store"]))
+        sums = layer_path(root, "gold", "partial_sums")
+        months = None if years is None else partials.touched_months(sold)
+        partials.refresh_partials(spark, gold("fact_sales"), sums, months)
+        store("agg_executive_overview", partials.executive_overview(spark, sums))
+        store("agg_regional_sales", partials.regional_sales(spark, sums, keyed["store"]))
+        store("agg_customer_ltv", partials.customer_ltv(spark, sums, keyed["customer"]))
+        store("agg_store_space_utilization", partials.store_space(spark, sums, keyed["store"]))
         alerts = marts.inventory_alerts(read("inventory"), keyed["store"], keyed["product"])
         store("agg_ops_inventory_alerts", alerts)
         store("agg_ops_orders_per_minute", marts.orders_per_minute(read("orders"), keyed["store"]))

@@ -9,9 +9,6 @@ import math
 
 from pyspark.sql import SparkSession
 
-#: Batch reports of a stream that are kept for its counts.
-KEPT_REPORTS = 10_000
-
 #: Runtime settings, safe to change on a live session.
 RUNTIME = {
     # Keys and texts hold timestamps as wall-clock strings.
@@ -25,8 +22,6 @@ RUNTIME = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     # Split a hot key even where that costs a later shuffle: one endless task costs more.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # Rule counts of a stream are summed over its batches; keep the reports of long catch-up runs.
-    "spark.sql.streaming.numRecentProgressUpdates": str(KEPT_REPORTS),
     # A runtime filter from a small join side prunes the large scan.
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
 }

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import threading
+from collections import defaultdict
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
-from larderlake.session import KEPT_REPORTS
+#: Seconds to wait for the last report of a run that has ended.
+REPORT_WAIT = 60
 
 
 def checkpoint_dir(root: str, env: str, table: str) -> str:
@@ -27,7 +30,7 @@ def run_available_now(
     writer = writer.option("path", path).option("checkpointLocation", checkpoint)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    return _finish(writer, name)
+    return _finish(writer, name, stream.sparkSession)
 
 
 def run_batches(
@@ -41,29 +44,60 @@ def run_batches(
     A batch may come again after a failure; ``handle`` must make its repetition harmless.
     """
     writer = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
-    return _finish(writer, name)
+    return _finish(writer, name, stream.sparkSession)
 
 
-def _finish(writer, name: str | None) -> StreamingQuery:
+class _Reports(StreamingQueryListener):
+    """Adds up what the batches of each run observed, report by report as they come."""
+
+    def __init__(self):
+        self.totals = defaultdict(lambda: defaultdict(lambda: defaultdict(int)))
+        self.ended: set[str] = set()
+        self.changed = threading.Condition()
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        found = self.totals[str(event.progress.runId)]
+        for label, row in event.progress.observedMetrics.items():
+            for metric, value in row.asDict().items():
+                found[label][metric] += value
+
+    def onQueryTerminated(self, event) -> None:
+        with self.changed:
+            self.ended.add(str(event.runId))
+            self.changed.notify_all()
+
+    def of(self, run: str) -> dict[str, dict[str, int]]:
+        """Totals of a run; its end is reported after all of its batches."""
+        with self.changed:
+            if not self.changed.wait_for(lambda: run in self.ended, REPORT_WAIT):
+                raise TimeoutError(f"the reports of run {run} did not arrive")
+        return {label: dict(counts) for label, counts in self.totals[run].items()}
+
+
+def _finish(writer, name: str | None, spark) -> StreamingQuery:
     if name:
         writer = writer.queryName(name)
-    query = writer.trigger(availableNow=True).start()
-    query.awaitTermination()
+    reports = _Reports()
+    spark.streams.addListener(reports)
+    try:
+        query = writer.trigger(availableNow=True).start()
+        query.awaitTermination()
+        query.observed = reports.of(str(query.runId))
+    finally:
+        spark.streams.removeListener(reports)
     return query
 
 
 def quality_metrics(query: StreamingQuery, label: str) -> dict[str, int]:
-    """Rule counts of a stream run, summed over its batches.
+    """Rule counts of a finished run, summed over all of its batches.
 
-    Spark keeps the reports of so many batches and drops earlier ones; a run of more batches has no
-    whole counts and is an error.
+    They are gathered while the run goes on and do not depend on how many reports a session keeps.
+    Counts that must outlive the driver are those of ``run_checked``, stored batch by batch.
     """
-    totals: dict[str, int] = {}
-    reports = query.recentProgress
-    if len(reports) >= KEPT_REPORTS:
-        raise RuntimeError("a run of this many batches keeps no whole counts: take more files at a time")
-    for progress in reports:
-        row = progress.observedMetrics.get(label)
-        for metric, value in (row.asDict() if row else {}).items():
-            totals[metric] = totals.get(metric, 0) + value
-    return totals
+    return query.observed.get(label, {})

@@ -38,6 +38,19 @@ BLOCKS: dict[str, str] = {
 }
 
 BLOCKS |= {
+    # --- orders in four deliveries: ten days each, some orders with the next one ---
+    "x_delivered": """
+        select order_id, cast(event_time as timestamp) as ts, store_id, quantity,
+               case when day(cast(event_time as timestamp)) <= 10 then 0
+                    when day(cast(event_time as timestamp)) <= 20 then 1 else 2 end
+                 + cast(order_id % 17 = 0 as int) as delivery
+        from r_order_events where quantity > 0""",
+    "x_newest": """
+        select n, max(ts) as mark from x_delivered, unnest([1, 2, 3]) u(n) where delivery < n group by n""",
+    "x_judged": """
+        select d.*, coalesce(ts < mark - interval 10 minutes, false) as late
+        from x_delivered d left join x_newest on n = delivery""",
+    "x_closing": "select max(ts) - interval 10 minutes as mark from x_judged where not late",
     # --- silver ---
     "s_lines": f"""
         select {_day('transaction_date')} as transaction_date, {_day('stock_date')} as stock_date,
@@ -359,6 +372,37 @@ CHECKS: dict[str, str] = {
               from s_lines)
         group by rule, action""",
     "e4_rules_applied": "select store_id, count(*) as lines from s_transactions group by 1",
+    "x6_stream_counts": """
+        select 'transactions' as label, metric, cast(value as bigint) as value, true as over_100_batches
+        from (select count(*) as total_rows,
+                     count(*) filter (transaction_date is not null and quantity > 0 and product_id is not null
+                                      and store_id is not null and customer_id is not null) as kept_rows,
+                     count(*) filter (transaction_date is null) as valid_transaction_date,
+                     count(*) filter ((quantity > 0) is not true) as valid_quantity,
+                     count(*) filter (product_id is null) as valid_product_id,
+                     count(*) filter (store_id is null) as valid_store_id,
+                     count(*) filter (customer_id is null) as valid_customer_id,
+                     count(*) filter ((stock_date <= transaction_date) is not true) as stock_before_sale
+              from s_lines) unpivot (value for metric in (columns(*)))""",
+    "e6_stream_quarantine": """
+        select case when dropped then 'quarantined' else 'accepted' end as verdict,
+               case when dropped then rules else '' end as rules,
+               count(*) as lines, cast(sum(quantity) as bigint) as units
+        from (select quantity, not (transaction_date is not null and coalesce(quantity > 0, false)
+                                    and product_id is not null and store_id is not null
+                                    and customer_id is not null) as dropped,
+                     concat_ws(',', case when stock_date <= transaction_date then null else 'stock_before_sale' end,
+                               case when customer_id is null then 'valid_customer_id' end,
+                               case when quantity > 0 then null else 'valid_quantity' end) as rules
+              from s_lines)
+        group by 1, 2""",
+    "x7_minute_stream": """
+        select store_id, date_trunc('minute', ts) as order_minute, count(order_id) as orders_per_minute,
+               cast(sum(quantity) as bigint) as total_quantity_per_minute, false as late
+        from x_judged, x_closing where not late group by store_id, date_trunc('minute', ts)
+        having date_trunc('minute', ts) + interval 1 minute <= any_value(x_closing.mark)
+        union all
+        select store_id, null, count(order_id), cast(sum(quantity) as bigint), true from x_judged where late group by 1""",
     "e5_violations": """
         select concat_ws(',', case when quantity > 0 then null else 'valid_quantity' end,
                          case when customer_id is null then 'valid_customer_id' end,
@@ -576,6 +620,10 @@ CHECKS: dict[str, str] = {
 }
 
 
+CHECKS["g8_incremental"] = CHECKS["g8_executive_overview"]
+CHECKS["g12_incremental"] = CHECKS["g12_customer_ltv"]
+
+
 def _needed(sql: str) -> list[str]:
     """Blocks that ``sql`` reads, each after those it reads itself."""
     found: list[str] = []

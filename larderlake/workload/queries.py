@@ -21,7 +21,7 @@ from larderlake.operators.quality import (
     scorecard,
     violations,
 )
-from larderlake.plans import dashboards, dims, facts, marts, schemas, silver
+from larderlake.plans import dashboards, dims, facts, marts, partials, schemas, silver
 from larderlake.plans.policies import POLICIES
 from larderlake.plans.rules import RULES
 from larderlake.plans.silver import accepted
@@ -44,9 +44,17 @@ from larderlake.streaming import (
     ChangeSpec,
     apply_changes_stream,
     checkpoint_dir,
+    read_accepted,
+    read_counts,
     read_history,
+    read_late,
+    read_minutes,
+    read_quarantined,
     run_available_now,
+    run_checked,
+    run_minutes,
     stream_static_join,
+    summed,
 )
 from larderlake.workload import inputs
 from larderlake.workload.inputs import ENV, raw, table
@@ -111,8 +119,9 @@ def measures(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sales(spark: SparkSession, sf_dir: str, *names: str) -> DataFrame:
     """Sales facts with the keys of the named dimensions."""
-    lines, products = inputs.transactions(spark, sf_dir), inputs.products(spark, sf_dir)
-    rows = facts.fact_sales(lines, products, star(spark, sf_dir, *names))
+    # The dimension comes straight from the products here, so where it is joined it gives the prices too.
+    products = None if "product" in names else inputs.products(spark, sf_dir)
+    rows = facts.fact_sales(inputs.transactions(spark, sf_dir), products, star(spark, sf_dir, *names))
     return accepted(rows, "fact_sales")
 
 
@@ -543,6 +552,41 @@ def g13_store_space(spark, sf_dir):
     return result(mart, "total_revenue", "total_profit")
 
 
+def _delivered_late(spark, sf_dir):
+    """Partial sums of sales after a second delivery, of lines of one year for every fifth store."""
+    root = scratch_dir(spark, "gold")
+    late = (F.col("store_id") % 5 == 0) & (F.col("transaction_year") == 1995)
+    lines, products = inputs.transactions(spark, sf_dir), inputs.products(spark, sf_dir)
+    keys = star(spark, sf_dir, "store", "customer")
+    layout = schemas.PARTITIONS["fact_sales"], schemas.CLUSTERING["fact_sales"]
+
+    def store(rows: DataFrame, months) -> None:
+        built = accepted(facts.fact_sales(rows, products, keys), "fact_sales")
+        write_table(built, f"{root}/fact_sales", *layout, touched_partitions_only=months is not None)
+        stored = spark.read.parquet(f"{root}/fact_sales")
+        partials.refresh_partials(spark, stored, f"{root}/sums", months)
+
+    store(lines.filter(~late), None)
+    touched = partials.touched_months(lines.filter(late))
+    store(lines.filter(partials.in_months(touched)), touched)
+    return f"{root}/sums"
+
+
+@query
+def g8_incremental(spark, sf_dir):
+    """The overview after late lines, their months alone summed anew."""
+    found = partials.executive_overview(spark, _delivered_late(spark, sf_dir))
+    return result(found, "total_revenue", "total_profit", "profit_margin_pct")
+
+
+@query
+def g12_incremental(spark, sf_dir):
+    """Lifetime values after late lines, merged from the partial sums of all months."""
+    sums = _delivered_late(spark, sf_dir)
+    customer = star(spark, sf_dir, "customer")["customer"]
+    return result(partials.customer_ltv(spark, sums, customer))
+
+
 # --- dashboards -----------------------------------------------------------------------------------
 
 
@@ -770,14 +814,15 @@ def s9_layer_read(spark, sf_dir):
 @query
 def x5_replay(spark, sf_dir):
     """A stream run again without new files adds nothing; new files are added once."""
-    landing = _csv_landing(spark, sf_dir, "r_returns", "landing")
-    target = scratch_dir(spark, "bronze")
+    rows = raw(spark, sf_dir, "r_returns").drop("ingestion_time", "source_file")
+    later = F.pmod(F.xxhash64("product_id", "store_id"), F.lit(3)) == 0
+    landing, target = scratch_dir(spark, "landing"), scratch_dir(spark, "bronze")
+    rows.filter(~later).write.option("header", True).csv(landing)
     schema = infer_csv_schema(spark, landing)
     checkpoint = checkpoint_dir(target, ENV, "bronze_return")
-    for delivery in range(3):
+    for delivery in range(4):
         if delivery == 2:
-            more = raw(spark, sf_dir, "r_returns").drop("ingestion_time", "source_file").limit(0)
-            more.write.mode("append").option("header", True).csv(landing)
+            rows.filter(later).write.mode("append").option("header", True).csv(landing)
         run_available_now(read_csv_stream(spark, landing, schema), f"{target}/t", checkpoint)
     stored = spark.read.parquet(f"{target}/t")
     return stored.groupBy("store_id").agg(F.count("*").alias("lines"))
@@ -932,6 +977,59 @@ def x1_stream_cleanse(spark, sf_dir):
     return result(spark.read.parquet(f"{root}/silver").drop("bronze_ingestion_time"))
 
 
+#: Batches of a stream whose counts are added up; Spark by itself remembers the last hundred reports.
+MANY_BATCHES = 101
+
+
+@query
+def x6_stream_counts(spark, sf_dir):
+    """What rules found in a stream of many batches, from the counts stored with each batch."""
+    root = scratch_dir(spark, "counted")
+    raw(spark, sf_dir, "r_transactions").repartition(MANY_BATCHES).write.parquet(f"{root}/bronze")
+    stream = read_table_stream(spark, f"{root}/bronze", max_files=1)
+    lines = silver.cleanse_transactions(stream, ENV).drop("source_file")
+    run_checked(lines, _LINE_RULES, f"{root}/silver", checkpoint_dir(root, ENV, "transactions"))
+    found = summed(read_counts(spark, f"{root}/silver/counts"))
+    return found.select("label", "metric", "value", (F.col("batches") > 100).alias("over_100_batches"))
+
+
+@query
+def e6_stream_quarantine(spark, sf_dir):
+    """A stream split by verdict in one pass: accepted and quarantined lines by the rules they break."""
+    root = scratch_dir(spark, "checked")
+    raw(spark, sf_dir, "r_transactions").repartition(3, "product_id").write.parquet(f"{root}/bronze")
+    stream = read_table_stream(spark, f"{root}/bronze", max_files=1)
+    lines = silver.cleanse_transactions(stream, ENV).drop("source_file")
+    target = f"{root}/silver"
+    run_checked(lines, _LINE_RULES, target, checkpoint_dir(root, ENV, "transactions"), ["transaction_year"])
+    kept = read_accepted(spark, target).select(F.lit("accepted").alias("verdict"), F.lit("").alias("rules"), "quantity")
+    names = F.array_join(F.array_sort("violated_rules"), ",").alias("rules")
+    out = read_quarantined(spark, target).select(F.lit("quarantined").alias("verdict"), names, "quantity")
+    return kept.unionByName(out).groupBy("verdict", "rules").agg(
+        F.count("*").alias("lines"), F.sum("quantity").alias("units")
+    )
+
+
+@query
+def x7_minute_stream(spark, sf_dir):
+    """Orders per store and minute from a stream in four deliveries, and the orders that came too late."""
+    root = scratch_dir(spark, "minutes")
+    orders = silver.normalise_orders(raw(spark, sf_dir, "r_order_events")).filter("quantity > 0")
+    # Ten days a delivery; some orders come with the next one.
+    day = F.dayofmonth("event_timestamp")
+    due = F.when(day <= 10, 0).when(day <= 20, 1).otherwise(2) + (F.col("order_id") % 17 == 0).cast("int")
+    for delivery in range(4):
+        orders.filter(due == delivery).write.mode("append").parquet(f"{root}/bronze")
+        run_minutes(read_table_stream(spark, f"{root}/bronze"), f"{root}/gold", f"{root}/checkpoints")
+    late = read_late(spark, f"{root}/gold").groupBy("store_id").agg(
+        F.lit(None).cast("timestamp").alias("order_minute"),
+        F.count("order_id").alias("orders_per_minute"),
+        F.sum("quantity").alias("total_quantity_per_minute"),
+    )
+    both = read_minutes(spark, f"{root}/gold").withColumn("late", F.lit(False))
+    return result(both.unionByName(late.withColumn("late", F.lit(True))))
+
+
 @query
 def j2_stream_static(spark, sf_dir):
     """Order events joined to the store versions current when the batch runs."""
