@@ -1,5 +1,6 @@
 """Change application: one pass, cut timelines, and batch by batch."""
 
+import os
 import random
 
 import pytest
@@ -227,21 +228,55 @@ def test_type_one_target_batch_by_batch(spark, path):
     ]
 
 
-def test_batch_that_failed_halfway_runs_again(spark, path, monkeypatch):
+@pytest.mark.parametrize("table", ["voided", "closed", "open"])
+def test_batch_that_failed_halfway_runs_again(spark, path, monkeypatch, table):
     spec = ChangeSpec(**SPEC, buckets=2, hot_rows=None)
-    data = random_feed(5, n=40)
+    data = random_feed(5, n=60)
     merge_batch(feed(spark, *data[:20]), 0, path, spec)
+    merge_batch(feed(spark, *data[20:30]), 1, path, spec)
     write = changes._replace
 
-    def lost(df, target, *partitions):
-        if target.endswith("/history"):
+    def lost(df, target, *partitions, **options):
+        write(df, target, *partitions, **options)
+        if target.endswith(f"/{table}"):
             raise RuntimeError("lost")
-        write(df, target, *partitions)
 
     monkeypatch.setattr(changes, "_replace", lost)
     with pytest.raises(RuntimeError):
-        merge_batch(feed(spark, *data[20:]), 1, path, spec)
-    assert versions(read_history(spark, path)) == expected(data[:20])
+        merge_batch(feed(spark, *data[30:]), 2, path, spec)
+    # Readers see a batch whole or not at all.
+    seen = data if table == "open" else data[:30]
+    assert versions(read_history(spark, path)) == expected(seen)
     monkeypatch.setattr(changes, "_replace", write)
-    merge_batch(feed(spark, *data[20:]), 1, path, spec)
+    merge_batch(feed(spark, *data[30:]), 2, path, spec)
     assert versions(read_history(spark, path)) == expected(data)
+
+
+def test_closed_versions_are_never_rewritten(spark, path, monkeypatch):
+    spec = ChangeSpec(**SPEC, buckets=4, hot_rows=None)
+    old = [(k, s, f"t{s}", "x") for k in range(12) for s in (10, 20, 30)]
+    merge_batch(feed(spark, *old), 0, path, spec)
+
+    def closed_files():
+        return {
+            os.path.join(at, name): os.path.getmtime(os.path.join(at, name))
+            for at, _, names in os.walk(f"{path}/closed")
+            for name in names
+            if name.endswith(".parquet")
+        }
+
+    first = closed_files()
+    assert first
+    # Rows that are newer than all before read neither closed versions nor the log of other batches.
+    read, asked = changes._valid_closed, []
+    monkeypatch.setattr(changes, "_valid_closed", lambda *args: asked.append(args) or read(*args))
+    new = [(k, 40, "t30" if k % 2 else "t40", "y") for k in range(0, 12, 3)]
+    merge_batch(feed(spark, *new), 1, path, spec)
+    assert not asked
+    second = closed_files()
+    assert first.items() < second.items()
+    # A late row splits a closed version: its successors are new files, the old file stays.
+    late = [(3, 15, "late", "z"), (50, 1, "n", "n")]
+    merge_batch(feed(spark, *late), 2, path, spec)
+    assert len(asked) == 1 and second.items() < closed_files().items()
+    assert versions(read_history(spark, path)) == expected(old + new + late)
