@@ -8,6 +8,7 @@ texts when each is cut there, and quantiles.
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -20,6 +21,8 @@ from larderlake.llm.tables import empty_or_null, keep
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 # --------------------------------------------------------------------------------------------------
 
+#: White space in a row that the splitter's backtracking is spared; a fixed value of Unicode.
+LONG_SPACE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{4096,}")
 #: Bytes of a vocabulary file that is sent to the tasks at most.
 MAX_VOCABULARY = 64 << 20
 #: Lengths summed together first; the sums of these stretches are then run over.
@@ -35,6 +38,22 @@ def read_vocabulary(path: str) -> dict[bytes, int]:
     return {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in data.splitlines() if line)}
 
 
+def encoded_length(encoding, text: str) -> int:
+    """Tokens of a text of any length.
+
+    The splitter takes white space before a word without its last character, and at the end of a text
+    whole, as one piece. Long runs are cut off like that before it sees them: it would go back over
+    each of their characters, and its stack has an end.
+    """
+    total = at = 0
+    for run in LONG_SPACE.finditer(text):
+        end = run.end() if run.end() == len(text) else run.end() - 1
+        total += len(encoding.encode_ordinary(text[at : run.start()]))
+        total += len(encoding._encode_single_piece(text[run.start() : end].encode()))
+        at = end
+    return total + len(encoding.encode_ordinary(text[at:]))
+
+
 def encoded_lengths(docs: DataFrame, vocabulary: dict[bytes, int], text: str = "text") -> DataFrame:
     """(length) of every row: tokens of its whole text, special tokens as plain text; 0 for a null."""
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
@@ -44,7 +63,7 @@ def encoded_lengths(docs: DataFrame, vocabulary: dict[bytes, int], text: str = "
 
         encoding = tiktoken.Encoding("vocabulary", pat_str=SPLIT, mergeable_ranks=shared.value, special_tokens={})
         for batch in batches:
-            lengths = [len(encoding.encode_ordinary(x.as_py())) for x in batch.column(0)]
+            lengths = [encoded_length(encoding, x.as_py()) for x in batch.column(0)]
             yield pa.RecordBatch.from_arrays([pa.array(lengths, pa.int64())], names=["length"])
 
     return docs.select(empty_or_null(docs[f"`{text}`"]).alias("text")).mapInArrow(count, "length long")

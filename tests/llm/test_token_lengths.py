@@ -1,3 +1,6 @@
+import random
+import re
+
 import pytest
 
 from larderlake.llm import token_lengths as t
@@ -21,6 +24,25 @@ def test_lengths_are_those_of_the_encoder(spark, vocabulary):
     assert all(encoding.decode(encoding.encode_ordinary(x)) == x for x in texts if x)
 
 
+def test_white_space_of_any_length(spark, vocabulary, monkeypatch):
+    import tiktoken
+
+    encoding = tiktoken.Encoding("x", pat_str=t.SPLIT, mergeable_ranks=vocabulary, special_tokens={})
+    # Texts that the splitter can do as well: the same lengths, however short the runs that are cut off.
+    parts = [" ", "\n", "\t ", "\r\n", "\u2003", "\xa0", "\x1c", "a", "word", "1", "!", "'s", "\u00e9", " x"]
+    rng = random.Random(2)
+    texts = ["".join(p * rng.choice([1, 2, 9]) for p in rng.choices(parts, k=12)) for _ in range(400)]
+    for least in (2, 3, 5):
+        monkeypatch.setattr(t, "LONG_SPACE", re.compile(t.LONG_SPACE.pattern.replace("4096", str(least))))
+        assert [t.encoded_length(encoding, x) for x in texts] == [len(encoding.encode_ordinary(x)) for x in texts]
+    monkeypatch.undo()
+    long = [" " * 300_000 + "x", "a" + "\n" * 300_000, "\t" * 5000 + "1" + " " * 5000]
+    assert [t.encoded_length(encoding, x) for x in long] == [len(encoding.encode_ordinary(x)) for x in long]
+    # And such as it can not.
+    docs = spark.createDataFrame([(" " * 10_000_000 + "x",), ("\n" * 1_000_000,)], "text string")
+    assert sorted(r.length for r in t.encoded_lengths(docs, vocabulary).collect()) == [1_000_000, 10_000_000]
+
+
 def test_histogram_answers_every_limit(spark):
     lengths = [0, 0, 3, 3, 3, 5, 1023, 1024, 1025, 90_000]
     found = t.histogram(spark.createDataFrame([(x,) for x in lengths], "length long"))
