@@ -112,18 +112,22 @@ def secure_views(
         secure_read(df, name, policies, mapping, viewer).createOrReplaceTempView(name)
 
 
+#: The grants as the SQL functions of a session see them.
+GRANTS_VIEW = "user_region_grants"
+
+
 def register_functions(spark: SparkSession, mapping: DataFrame, viewer: Viewer) -> None:
     """SQL functions of a viewer's session: ``region_filter``, ``mask_pii_string``, ``mask_pii_date``.
 
-    The viewer's regions become a literal list, so the filter can sit in any WHERE clause.
+    The filter asks the grants in the moment it is used; in a WHERE clause it becomes a semi join,
+    so no list of regions passes the driver, and grants stored later count.
     """
     everything = "true" if viewer.privileged else "false"
-    granted = mapping.filter(F.col("user_id") == viewer.user).select("assigned_region").distinct()
-    names = [r[0] for r in granted.collect()]  # the regions of one user
-    listed = ", ".join("'" + n.replace("\\", "\\\\").replace("'", "\\'") + "'" for n in names if n)
-    member = f"coalesce(region_name IN ({listed}), false)" if listed else "false"
+    mapping.select("user_id", "assigned_region").createOrReplaceTempView(GRANTS_VIEW)
+    user = viewer.user.replace("\\", "\\\\").replace("'", "\\'")
+    granted = f"EXISTS (SELECT 1 FROM {GRANTS_VIEW} g WHERE g.user_id = '{user}' AND g.assigned_region = region_name)"
     bodies = {
-        "region_filter(region_name STRING) RETURNS BOOLEAN": f"{everything} OR {member}",
+        "region_filter(region_name STRING) RETURNS BOOLEAN": "true" if viewer.privileged else granted,
         "mask_pii_string(value STRING) RETURNS STRING": (
             f"CASE WHEN {everything} THEN value ELSE '{MASKED_TEXT}' END"
         ),

@@ -372,6 +372,22 @@ CHECKS: dict[str, str] = {
               from s_lines)
         group by rule, action""",
     "e4_rules_applied": "select store_id, count(*) as lines from s_transactions group by 1",
+    "e4_observed_counts": """
+        select metric, cast(value as bigint) as value
+        from (select count(*) as total_rows, count(*) filter (quantity > 0 and customer_id is not null) as kept_rows,
+                     count(*) filter (transaction_date is null) as valid_transaction_date,
+                     count(*) filter ((quantity > 0) is not true) as valid_quantity,
+                     count(*) filter (product_id is null) as valid_product_id,
+                     count(*) filter (store_id is null) as valid_store_id,
+                     count(*) filter (customer_id is null) as valid_customer_id,
+                     count(*) filter ((stock_date <= transaction_date) is not true) as stock_before_sale
+              from s_lines) unpivot (value for metric in (columns(*)))""",
+    "a8_audit_errors": """
+        select 'gold' as layer, 'audit_extraction' as stage, 'ERROR' as level, 'AUDIT_ERROR' as status,
+               substr(replace(details, '"num_output_rows":', '"num_output_rows":"many","was":'), 1, 2000) as error
+        from r_pipeline_events e join a_newest n on n.layer = e.layer and n.update_id = e.update_id
+        where e.layer = 'gold' and event_type = 'flow_progress' and contains(details, '"num_output_rows":')
+        order by timestamp, details limit 1""",
     "x6_stream_counts": """
         select 'transactions' as label, metric, cast(value as bigint) as value, true as over_100_batches
         from (select count(*) as total_rows,
@@ -483,6 +499,19 @@ CHECKS: dict[str, str] = {
         select date_trunc('hour', event_timestamp) as event_hour, count(*) as count,
                cast(sum(quantity) as bigint) as total_quantity
         from s_orders group by 1""",
+    "d2_widgets": """
+        select 'total' as widget, null as event_hour, null as store_city, null as store_state, count(*) as count,
+               cast(sum(quantity) as bigint) as total_quantity from s_orders
+        union all select 'by_city', null, store_city, store_state, count(*), null from s_orders group by 3, 4
+        union all select 'by_hour', date_trunc('hour', event_timestamp), null, null, count(*), cast(sum(quantity) as bigint)
+                  from s_orders group by 2
+        union all select 'large_by_city', null, store_city, null, count(*), cast(sum(quantity) as bigint)
+                  from s_orders where quantity >= 4 group by 3
+        union all select 'large', null, null, null, count(*), null from s_orders where quantity >= 4""",
+    "t3_ordered": """
+        select store_state, store_city, count(*) as count,
+               cast(row_number() over (order by count(*) desc, store_state nulls first, store_city nulls first) as integer) as place
+        from s_orders group by 1, 2""",
     "d3_inventory_measures": """
         select count(*) as count, avg(stock_level) as avg_stock_level from s_inventory""",
     "d3a_low_stock": """
@@ -540,6 +569,14 @@ CHECKS: dict[str, str] = {
         from m_regional where sales_region in (select assigned_region from user_region_map
                                                where user_id = 'user_0') group by 1, 2""",
     "r2_user_regions": "select user_id, assigned_region from user_region_map",
+    "udf_sql_functions": """
+        select store_id, sales_region, '### MASKED ###' as store_name, cast(null as date) as first_opened_date
+        from b_store where sales_region in (select assigned_region from user_region_map where user_id = 'user_0')""",
+    "s4_bronze_factory": """
+        select 'return' as dataset, 'bronze_return' as bronze_table, count(*) as lines, count(*) as stamped,
+               true as from_files from r_returns
+        union all select 'regions', 'bronze_regions', count(*), count(*), true from r_regions
+        union all select 'products', 'bronze_products', count(*), count(*), false from r_products""",
     "s14_replace": "select n_nationkey, n_name, n_regionkey from nation where n_regionkey <> 0",
     "s9_layer_read": """
         select store_id, count(*) as lines, cast(sum(quantity) as bigint) as units

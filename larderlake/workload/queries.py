@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,6 +13,7 @@ from larderlake.functions import date_key, stock_status, surrogate_key
 from larderlake.operators import audit, governance, scd
 from larderlake.operators.dedup import dedup
 from larderlake.operators.governance import Viewer
+from larderlake.operators.metrics import Widget
 from larderlake.operators.quality import (
     apply_rules,
     expect,
@@ -33,6 +34,7 @@ from larderlake.sources import (
     read_csv_stream,
     read_layer,
     read_table_stream,
+    register_bronze,
     replace_table,
     scratch_dir,
     unwrap_json,
@@ -350,6 +352,14 @@ def e4_rules_applied(spark, sf_dir):
     return kept.groupBy("store_id").agg(F.count(F.lit(1)).alias("lines"))
 
 
+@query
+def e4_observed_counts(spark, sf_dir):
+    """What a batch observes while its accepted rows are written: total, kept, violations per rule."""
+    kept, seen = apply_rules(_lines(spark, sf_dir), _LINE_RULES)
+    write_table(kept, f"{scratch_dir(spark, 'observed')}/lines", ["transaction_year"])
+    return spark.createDataFrame(list(seen.get.items()), "metric string, value bigint")
+
+
 @query
 def e5_violations(spark, sf_dir):
     """Quarantined rows by the rules they break."""
@@ -607,6 +617,32 @@ def _with_stores(spark, sf_dir):
     return dashboards.sales_with_stores(regional(spark, sf_dir), full_store(spark, sf_dir), region)
 
 
+#: The widgets over order events.
+_ORDER_WIDGETS = {
+    "total": Widget((), ("count", "total_quantity")),
+    "by_city": Widget(("store_state", "store_city"), ("count",)),
+    "by_hour": Widget(("event_hour",), ("count", "total_quantity")),
+    "large_by_city": Widget(("store_city",), ("count", "total_quantity"), "quantity >= 4"),
+    "large": Widget((), ("count",), "quantity >= 4"),
+}
+
+
+@query
+def d2_widgets(spark, sf_dir):
+    """All widgets over order events in one pass."""
+    return result(_orders(spark, sf_dir).queries(_ORDER_WIDGETS))
+
+
+@query
+def t3_ordered(spark, sf_dir):
+    """The order that a view is asked for, as places."""
+    by = {"count": "desc", "store_state": "asc", "store_city": "asc"}
+    ordered = _orders(spark, sf_dir).query(["store_state", "store_city"], ["count"], order_by=by)
+    # The number of a row tells its place in the result; the window only makes places of numbers.
+    numbered = ordered.withColumn("at", F.monotonically_increasing_id())
+    return numbered.withColumn("place", F.row_number().over(Window.orderBy("at"))).drop("at")
+
+
 @query
 def d1_alert_details(spark, sf_dir):
     d = star(spark, sf_dir, "store", "product")
@@ -791,6 +827,42 @@ def r2_user_regions(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+@query
+def udf_sql_functions(spark, sf_dir):
+    """SQL functions of a viewer's session: a row filter that asks the grants, and two masks."""
+    governance.register_functions(spark, raw(spark, sf_dir, "user_region_map"), _ANALYST)
+    stores = full_store(spark, sf_dir).select("store_id", "sales_region", "store_name", "first_opened_date")
+    return spark.sql(
+        """SELECT store_id, sales_region, mask_pii_string(store_name) AS store_name,
+                  mask_pii_date(first_opened_date) AS first_opened_date
+           FROM {stores} WHERE region_filter(sales_region)""",
+        stores=stores,
+    )
+
+
+@query
+def s4_bronze_factory(spark, sf_dir):
+    """A stream per dataset with its lineage, from one call; files and documents alike."""
+    root = scratch_dir(spark, "factory")
+    paths = {n: _csv_landing(spark, sf_dir, f"r_{f}", f"landing-{n}") for n, f in (("return", "returns"), ("regions", "regions"))}
+    paths["products"] = f"{root}/documents"
+    raw(spark, sf_dir, "r_products").drop("ingestion_time").write.parquet(paths["products"])
+    parts = []
+    for name, stream in register_bronze(spark, paths, pins=f"{root}/pins").items():
+        run_available_now(stream, f"{root}/{name}", checkpoint_dir(root, ENV, name))
+        stored = spark.read.parquet(f"{root}/{name}")
+        origin = "source_name" if "source_name" in stored.columns else "source"
+        parts.append(
+            stored.groupBy(F.col(origin).alias("dataset")).agg(
+                F.lit(name).alias("bronze_table"),
+                F.count("*").alias("lines"),
+                F.count("ingestion_time").alias("stamped"),
+                F.lit(origin == "source_name").alias("from_files"),
+            )
+        )
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query
 def s14_replace(spark, sf_dir):
     """A table replaced as a whole by fewer rows."""
@@ -872,6 +944,16 @@ def a6_summary(spark, sf_dir):
     return stored.filter(F.col("stage").isin(stages)).drop("timestamp")
 
 
+@query
+def a8_audit_errors(spark, sf_dir):
+    """A layer whose events hold a number that is none: one error entry instead of wrong ones."""
+    events = inputs.pipeline_events(spark, sf_dir)
+    odd = F.replace("details", F.lit('"num_output_rows":'), F.lit('"num_output_rows":"many","was":'))
+    bent = events.withColumn("details", F.when(F.col("layer") == "gold", odd).otherwise(F.col("details")))
+    entries = audit.extract(bent, _LAYERS, _RUN).filter("layer = 'gold' OR status = 'AUDIT_ERROR'")
+    return entries.select("layer", "stage", "level", "status", "error")
+
+
 @query
 def a7_audit_append(spark, sf_dir):
     """Entries stored, then counted per layer from the store."""

@@ -97,3 +97,12 @@ def test_sql_of_a_viewer(spark, mart):
     assert seen("NULL", "u_one")[0] is False
     assert seen("'East'", "u_none")[0] is False
     assert seen("NULL", "u_none", "admins") == (True, "x", day("2024-01-01"))
+
+
+def test_row_filter_function_asks_the_grants(spark, mart, path):
+    load_user_regions(spark, [("o'neil", "West")], path)
+    register_functions(spark, spark.read.parquet(path), Viewer.of("o'neil"))
+    mart.createOrReplaceTempView("mart_rows")
+    found = spark.sql("SELECT sales_region FROM mart_rows WHERE region_filter(sales_region)")
+    assert {r[0] for r in found.collect()} == {"West"}
+    assert "LeftSemi" in found._jdf.queryExecution().optimizedPlan().toString()

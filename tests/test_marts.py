@@ -1,6 +1,6 @@
 """The six marts, dimensions and dashboards on small tables."""
 
-from larderlake.operators.metrics import MetricView
+from larderlake.operators.metrics import MetricView, Widget
 from larderlake.plans import dashboards, dims, marts
 from tests.conftest import day, rows, ts
 
@@ -179,3 +179,29 @@ def test_dashboard_sources_join_dimensions(spark):
     assert (row["store_id"], row["sales_district"], row["total_store_revenue"]) == (1, "D", 100.0)
     facts = dashboards.regional_facts(mart).query(["month_date"], ["total_items_sold"])
     assert rows(facts) == [{"month_date": day("2024-01-01"), "total_items_sold": 3}]
+
+
+def test_all_widgets_of_a_view_in_one_pass(spark):
+    df = spark.createDataFrame(
+        [("a", "x", 1), ("a", "y", 2), ("b", None, 5), (None, "x", None)], "k string, c string, v int"
+    )
+    view = MetricView(
+        df,
+        dims={"big": "v > 1"},
+        measures={"n": "count(*)", "s": "sum(v)", "mean": "sum(coalesce(v, 0)) / nullif(count(v), 0)"},
+    )
+    widgets = {
+        "all": Widget((), ("n", "s", "mean")),
+        "by_k": Widget(("k",), ("s", "n")),
+        "by_c_k": Widget(("c", "k"), ("n",)),
+        "by_big": Widget(("big",), ("mean",)),
+        "big_only": Widget(("k",), ("n", "mean"), "v > 1"),
+        "none": Widget((), ("n", "s"), "v > 100"),
+        "none_by_k": Widget(("k",), ("n",), "v > 100"),
+    }
+    found = view.queries(widgets)
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 1
+    for name, w in widgets.items():
+        assert rows(view.pick(found, name, w)) == rows(view.query(w.dims, w.measures, w.where)), name
+    one = view.queries({"all": widgets["all"], "none": widgets["none"]})
+    assert sorted(r.n for r in one.collect()) == [0, 4]
