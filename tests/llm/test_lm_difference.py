@@ -38,9 +38,9 @@ def brute(docs, target):
     return out
 
 
-@pytest.mark.parametrize("block, flush", [(4_000_000, 1 << 22), (40, 200)])
-def test_equals_brute_force(spark, monkeypatch, block, flush):
-    monkeypatch.setattr(lm, "BLOCK", block)
+@pytest.mark.parametrize("hot, flush", [(200_000, 1 << 22), (200_000, 200), (20, 200), (1, 30)])
+def test_equals_brute_force(spark, monkeypatch, hot, flush):
+    monkeypatch.setattr(lm, "HOT", hot)
     monkeypatch.setattr(lm, "FLUSH", flush)
     monkeypatch.setattr(lm, "GROUP", 300)
     rnd = np.random.default_rng(3)
@@ -61,6 +61,30 @@ def test_packing():
     assert (lm._unpacked(lm._packed(keys)) == keys).all()
 
 
+def test_small_numbers():
+    numbers = np.array([0, 1, 255, 256, 70_000, 2**31 - 1])
+    assert (lm._numbers(lm._planes(numbers)) == numbers).all()
+
+
+def test_columns_fall_into_the_same_groups(spark):
+    keys = np.random.default_rng(1).integers(2, 1 << 63, 200).astype(np.uint64) * np.uint64(2) + np.uint64(1)
+    rows = spark.createDataFrame([(int(k),) for k in keys.view(np.int64)], "key long")
+    found = [r[0] for r in rows.select(lm._group_column("key", 37)).collect()]
+    assert found == lm._group(keys, 37).tolist()
+
+
+def test_chunks_of_equal_texts(spark, monkeypatch):
+    # A chunk a text: equal texts make equal chunks, in several tasks.
+    monkeypatch.setattr(lm, "FLUSH", 1)
+    docs = [(i, ["one two three", "two two four", "one two three", ""][i % 4]) for i in range(24)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    table = lm.learn(frame, spark.createDataFrame([(1,), (5,)], "doc_id long"))
+    wanted = brute(docs, {1, 5})
+    for r in lm.score(frame, table).collect():
+        assert r.lm.tokens == len(dict(docs)[r.doc_id].split())
+        assert r.lm.difference == (None if wanted[r.doc_id] is None else pytest.approx(wanted[r.doc_id], abs=1e-9))
+
+
 def test_awkward_tables(awkward, nothing):
     table = lm.learn(awkward, awkward.where("doc_id = 1"))
     found = lm.score(awkward, table)
