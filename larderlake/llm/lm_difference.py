@@ -32,8 +32,8 @@ MIN_WORD, MIN_PAIR = 2, 3
 #: A key goes to all tasks if it is at least this part of all words: so many words and as many pairs
 #: can be, 16 bytes each.
 HOT = 200_000
-#: Words counted together before their counts leave a task.
-FLUSH = 1 << 20
+#: Words counted together before their counts leave a task, and words of a chunk of texts that asks at once.
+FLUSH, ASK = 1 << 19, 1 << 18
 #: Counts merged together, about; decides the number of groups.
 GROUP = 1 << 20
 
@@ -272,16 +272,19 @@ def _ask(batches: Iterator[pa.RecordBatch], hot: tuple, unknown: float, groups:
     size = texts = 0
 
     def flush() -> pa.RecordBatch:
-        keys, rows = (np.concatenate(x) if x else np.zeros(0, dtype=np.uint64) for x in (keys_of, rows_of))
+        keys = np.concatenate(keys_of) if keys_of else np.zeros(0, dtype=np.uint64)
+        rows = np.concatenate(rows_of) if rows_of else np.zeros(0, dtype=np.int32)
+        keys_of.clear(), rows_of.clear()
         n = np.concatenate(tokens)
         chunk = hashlib.blake2b(b"".join(digests), digest_size=16).digest()
         sums = unknown * n
         distinct, place = np.unique(keys, return_inverse=True)
         hit, gain = _looked_up(distinct, *hot, unknown)
-        sums += np.bincount(rows.astype(np.int64), weights=gain[place], minlength=texts)
+        sums += np.bincount(rows, weights=gain[place], minlength=texts)
         cold = ~hit[place]
         # One entry for a key and a text.
-        pair, times = np.unique(place[cold].astype(np.int64) * texts + rows[cold].astype(np.int64), return_counts=True)
+        pair, times = np.unique(place[cold] * texts + rows[cold], return_counts=True)
+        del keys, rows, place, cold
         key, row = np.divmod(pair, texts)
         group = _group(distinct, groups)[key]
         order = np.argsort(group, kind="stable")
@@ -304,17 +307,16 @@ def _ask(batches: Iterator[pa.RecordBatch], hot: tuple, unknown: float, groups:
         marks = batch.column(0)
         for first, w in hashed_words(batch.column(1), LETTERS):
             n = np.diff(w.bounds)
-            rows = np.repeat(np.arange(texts, texts + len(n), dtype=np.uint64), n)
+            rows = np.repeat(np.arange(texts, texts + len(n), dtype=np.int32), n)
             for keys in _keys(w):
                 keys_of.append(keys), rows_of.append(rows)
                 size += len(keys)
             tokens.append(n)
             digests += marks.slice(first, len(n)).to_pylist()
             texts += len(n)
-            if size >= 2 * FLUSH:
+            if size >= 2 * ASK:
                 yield flush()
-                for waiting in (keys_of, rows_of, tokens, digests):
-                    waiting.clear()
+                tokens.clear(), digests.clear()
                 size = texts = 0
     if texts:
         yield flush()

@@ -42,6 +42,7 @@ def brute(docs, target):
 def test_equals_brute_force(spark, monkeypatch, hot, flush):
     monkeypatch.setattr(lm, "HOT", hot)
     monkeypatch.setattr(lm, "FLUSH", flush)
+    monkeypatch.setattr(lm, "ASK", flush)
     monkeypatch.setattr(lm, "GROUP", 300)
     rnd = np.random.default_rng(3)
     docs = [(i, " ".join(f"w{int(x)}" for x in rnd.zipf(1.5 + (i % 3) / 10, 40) if x < 500)) for i in range(120)]
@@ -75,7 +76,7 @@ def test_columns_fall_into_the_same_groups(spark):
 
 def test_chunks_of_equal_texts(spark, monkeypatch):
     # A chunk a text: equal texts make equal chunks, in several tasks.
-    monkeypatch.setattr(lm, "FLUSH", 1)
+    monkeypatch.setattr(lm, "ASK", 1)
     docs = [(i, ["one two three", "two two four", "one two three", ""][i % 4]) for i in range(24)]
     frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
     table = lm.learn(frame, spark.createDataFrame([(1,), (5,)], "doc_id long"))
