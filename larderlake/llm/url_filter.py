@@ -27,6 +27,8 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Query parameters that carry the URL a redirector goes to, and those that only track visitors.
 REDIRECT_PARAMETERS = r"(?i)[?&](?:url|u|target|dest|destination|redirect|redirect_url|next|to)=(https?(?:%3A|:)(?:%2F|/){2}[^&#]+)"
 TRACKING_PARAMETERS = r"(?i)(?<=[?&])(?:utm_[a-z]+|gclid|fbclid|mc_[a-z]+)=[^&#]*&?"
+#: What a page does not show: comments and scripts.
+UNSEEN = r"(?is)<!--.*?-->|<script\b.*?</script\s*>"
 #: The value of a link, in quotes with the blanks in it.
 HREF = r"""(?i)\bhref\s*=\s*["']?((?<=["'])[^"'>]+|[^"'\s>]+)"""
 
@@ -93,16 +95,20 @@ def _tags(html: Column, name: str, having: str, value: str) -> Column:
 
 
 def links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """(url, target): redirects and canonical links of pages, once each; ``<base href>`` is their base."""
+    """(url, target): redirects and canonical links of pages, once each; ``<base href>`` is their base.
+
+    Tags in comments and scripts are none.
+    """
     rows = pages.select(pages[f"`{url}`"].alias("url"), empty_or_null(pages[f"`{html}`"]).alias("html"))
+    has = F.col("html").rlike(r"(?i)canonical|refresh")
+    rows = rows.withColumn("html", F.when(has, F.regexp_replace("html", UNSEEN, " ")).otherwise(""))
     source = F.col("html")
     canonical = _tags(source, "link", r"""(?i)\brel\s*=\s*["']?canonical\b""", HREF)
     refresh = _tags(source, "meta", r"""(?i)\bhttp-equiv\s*=\s*["']?refresh\b""", r"""(?i)\burl\s*=\s*["']?([^"'\s>]+)""")
     none = F.array().cast("array<string>")
-    has = source.rlike(r"(?i)canonical|refresh")
-    declared = F.when(has, F.concat(canonical, refresh)).otherwise(none)
+    declared = F.when(source != "", F.concat(canonical, refresh)).otherwise(none)
     based = _tags(source, "base", r"(?i)\bhref\s*=", HREF)
-    based = F.when(has & source.rlike("(?i)<base"), F.get(based, F.lit(0)))
+    based = F.when(source.rlike("(?i)<base"), F.get(based, F.lit(0)))
     redirector = F.try_url_decode(F.regexp_extract("url", REDIRECT_PARAMETERS, 1))
     rows = rows.where("url is not null").select("url", F.concat(declared, F.array(redirector)).alias("targets"), based.alias("base"))
     rows = rows.select("url", F.coalesce(_absolute(F.col("base"), F.col("url")), "url").alias("base"), "targets")
@@ -120,9 +126,10 @@ def rule_table(spark: SparkSession, rules: list[Rule]) -> DataFrame:
 def _ruled(urls: DataFrame, rules: DataFrame) -> DataFrame:
     """(url, rule, own) of distinct urls: the longest rule that fits, and its verdict."""
     host, path = parts(F.col("url"))
-    labels = F.split("host", r"\.")
-    suffix = lambda i: F.array_join(F.slice(labels, i, F.size(labels)), ".")
-    suffixes = F.explode(F.transform(F.sequence(F.lit(1), F.size(labels)), suffix)).alias("suffix")
+    # Only endings of as many labels as some rule's host has can fit; a host may have very many.
+    counts = sorted(r[0] for r in rules.select(F.size(F.split("host", r"\."))).distinct().collect())
+    endings = [F.when(F.size(F.split("host", r"\.")) >= n, F.substring_index("host", ".", -n)) for n in counts]
+    suffixes = F.explode(F.array_compact(F.array(*endings)).cast("array<string>")).alias("suffix")
     rows = urls.select("url", host.alias("host"), path.alias("path")).where("host <> ''").select("url", "path", suffixes)
     rules = rules.select("verdict", F.col("host").alias("suffix"), F.col("path").alias("start"))
     fits = rows.join(rules, "suffix").where(F.startswith("path", "start"))

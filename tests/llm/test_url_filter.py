@@ -74,6 +74,24 @@ def test_blanks_in_quoted_links(spark):
     assert {r.target for r in found} == {"http://h.org/a/my%20page.html", "http://h.org/a/x"}
 
 
+def test_comments_and_scripts_hold_no_links(spark):
+    link = "<link rel=canonical href='http://h.org/%s'>"
+    rows = [
+        ("http://h.org/1", f"<!-- {link % 'a'}\n{link % 'b'} -->{link % 'c'}<!-- x -->"),
+        ("http://h.org/2", f"<SCRIPT type=x>document.write(\"{link % 'd'}\")</Script ><p>{link % 'e'}"),
+        ("http://h.org/3", f"<!-- open {link % 'f'}"),
+    ]
+    found = u.links(spark.createDataFrame(rows, "url string, html string")).collect()
+    assert {(r.url[-1], r.target[-1]) for r in found} == {("1", "c"), ("2", "e"), ("3", "f")}
+
+
+def test_hosts_of_many_labels(spark):
+    host = "a." * 200_000
+    rows = [(1, f"http://{host}example.net/en/", None), (2, f"http://{host}net/de", None), (3, f"http://{host}", None)]
+    found = {k: v[2:] for k, v in judged(spark, rows).items()}
+    assert found == {1: ("example.net/en/", "allow"), 2: ("net/", "block"), 3: (None, "allow")}
+
+
 def test_empty_and_repeated(spark):
     rules = u.rule_table(spark, RULES)
     none = spark.createDataFrame([], "page_id long, url string, html string, node string, rule string")
