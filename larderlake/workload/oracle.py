@@ -327,6 +327,18 @@ CHECKS: dict[str, str] = {
                          and customer_id is not null
                     then concat('{"customer_id":"x', customer_id, '"}') end as _rescued
         from r_transactions""",
+    "s2_found_types": """
+        select cast(product_id as integer) as product_id,
+               cast(customer_id as bigint) + case when cast(product_id as int) % 3 = 1 then 3000000000 else 0 end
+                   as customer_id,
+               case when cast(product_id as int) % 3 = 2 then concat('S', store_id) else store_id end as store_id,
+               cast(quantity as double) + case when cast(product_id as int) % 3 = 1 then 0.5 else 0 end as quantity,
+               case when cast(product_id as int) % 3 = 2
+                    then make_date(2024, 1, cast(product_id as int) % 28 + 1) end as arrived
+        from r_transactions""",
+    "s12_interleaved_sink": """
+        select store_id, product_id, count(*) as lines, round(sum(revenue), 2) as revenue
+        from b_sales where store_id = 3 or product_id < 20 group by all""",
     "s3_lineage": """
         select 'lineitem.parquet' as file_name, 'transactions' as source_name,
                count(*) as stamped_rows from lineitem""",

@@ -186,6 +186,28 @@ def s1_csv_drift(spark, sf_dir):
     return drift.read_drifted(spark, f"{root}/t")
 
 
+@query
+def s2_found_types(spark, sf_dir):
+    """Deliveries without a declared schema: columns turn long, double and text, a new one is a date."""
+    root = scratch_dir(spark, "found")
+    feed = raw(spark, sf_dir, "r_transactions").select("product_id", "customer_id", "store_id", "quantity")
+    part = F.pmod(F.col("product_id").cast("int"), F.lit(3))
+    deliveries = [
+        feed.filter(part == 0),
+        feed.filter(part == 1)
+        .withColumn("customer_id", (F.col("customer_id").cast("long") + 3_000_000_000).cast("string"))
+        .withColumn("quantity", F.concat("quantity", F.lit(".5"))),
+        feed.filter(part == 2)
+        .withColumn("store_id", F.concat(F.lit("S"), "store_id"))
+        .withColumn("arrived", F.concat(F.lit("2024-01-"), F.lpad((F.col("product_id") % 28 + 1).cast("int").cast("string"), 2, "0"))),
+    ]
+    for i, delivery in enumerate(deliveries):
+        delivery.write.option("header", True).csv(f"{root}/landing/{i}")
+        checkpoint = checkpoint_dir(root, ENV, "found")
+        drift.ingest_csv_found(spark, f"{root}/landing/*", f"{root}/t", checkpoint, f"{root}/types")
+    return drift.read_found(spark, f"{root}/t", f"{root}/types").drop(drift.RESCUED)
+
+
 @query
 def s3_lineage(spark, sf_dir):
     """Lineage columns of a file source: base name of the file and dataset, per file."""
@@ -226,6 +248,17 @@ def s11_partitioned_sink(spark, sf_dir):
     )
 
 
+@query
+def s12_interleaved_sink(spark, sf_dir):
+    """The sales table sorted by interleaved ranks of its four cluster columns, filtered by two of them."""
+    path, stored = scratch_dir(spark, "interleaved"), scratch_dir(spark, "sales")
+    measures(spark, sf_dir).write.parquet(stored)
+    write_table(spark.read.parquet(stored), path, cluster_by=schemas.CLUSTERING["fact_sales"], interleave=True)
+    some = spark.read.parquet(path).filter((F.col("store_id") == 3) | (F.col("product_id") < 20))
+    groups = some.groupBy("store_id", "product_id")
+    return result(groups.agg(F.count(F.lit(1)).alias("lines"), F.sum("revenue").alias("revenue")), "revenue")
+
+
 # --- silver ---------------------------------------------------------------------------------------
 
 

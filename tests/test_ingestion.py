@@ -242,3 +242,106 @@ def test_csv_files_are_read_by_their_own_headers(spark, path):
         (None, "bad", '{"k":"n/a"}', None),
     }
     assert drift.read_csv_by_name(spark, [], schema).count() == 0
+
+
+def _drop(path, files):
+    for name, text in files.items():
+        with open(f"{path}/{name}.csv", "w") as f:
+            f.write(text)
+    return [f"{path}/{name}.csv" for name in files]
+
+
+def test_headers_of_a_batch_are_read_by_one_job(spark, path):
+    from larderlake.sources import drift
+
+    files = _drop(path, {f"with blank {i}": f'k,"a, b",,k\n{i},x,y,z\n' for i in range(7)} | {"none": ""})
+    spark.sparkContext.setJobGroup("headers", "")
+    headers = drift._headers(spark, files)
+    ran = spark.sparkContext.statusTracker().getJobIdsForGroup("headers")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert list(headers) == [("k0", "a, b", "_c2", "k3")] and len(headers["k0", "a, b", "_c2", "k3"]) == 7
+    assert len(ran) == 1
+    found = drift.read_csv_by_name(spark, files, drift.StructType())
+    assert {r["k0"] for r in found.collect()} == {str(i) for i in range(7)}
+
+
+def test_types_widen_and_nothing_else_does(spark, path):
+    from larderlake.sources import drift
+
+    first = _drop(path, {"a": "i,l,d,t,z,b,e\n1,2,3,2024-01-01,007,true,\n,4,,,,,\n"})
+    then = _drop(path, {"b": "new,i,l,d,t,z,e\nx,5,3000000000,0.25,2024-01-01 10:00:00,8,2.5\n"})
+    last = _drop(path, {"c": "i,l,t\n99999999999999999999,1,soon\n"})
+
+    def types(schema):
+        return {f.name: f.dataType.simpleString() for f in schema}
+
+    one = drift.widened_schema(spark, first)
+    assert types(one) == {
+        "i": "int", "l": "int", "d": "int", "t": "date", "z": "string", "b": "boolean", "e": "string"
+    }
+    two = drift.widened_schema(spark, then, one)
+    assert types(two) == types(one) | {"l": "bigint", "d": "double", "t": "timestamp", "e": "double", "new": "string"}
+    assert drift.widened_schema(spark, first, two) == two
+    assert types(drift.widened_schema(spark, first + then)) == types(two)
+    assert types(drift.widened_schema(spark, last, two)) == types(two) | {"i": "string", "t": "string"}
+
+
+def test_files_without_a_declared_schema_are_added_once_and_lose_no_text(spark, path):
+    import os
+
+    from larderlake.sources import drift
+
+    os.makedirs(f"{path}/in")
+    where = (f"{path}/in", f"{path}/t", f"{path}/check", f"{path}/pin")
+    _drop(where[0], {"a": "k,v\n1,2\n2,3\n3,odd\n"})
+    for _ in range(2):
+        drift.ingest_csv_found(spark, *where, lines=2)
+    found = drift.read_found(spark, where[1], where[3])
+    assert dict(found.dtypes) == {"k": "int", "v": "int", drift.RESCUED: "string"}
+    assert {tuple(r) for r in found.collect()} == {(1, 2, None), (2, 3, None), (3, None, '{"v":"odd"}')}
+    _drop(where[0], {"b": "v,k\nx,0042\n"})
+    drift.ingest_csv_found(spark, *where, lines=2)
+    assert len(drift.pinned_versions(spark, where[3])) == 2
+    found = drift.read_found(spark, where[1], where[3])
+    assert {tuple(r) for r in found.collect()} == {
+        ("1", "2", None), ("2", "3", None), ("3", "odd", None), ("0042", "x", None)
+    }
+
+
+def test_every_interleaved_column_skips_row_groups(spark, path):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    from larderlake.sources import write_table
+
+    n = 40_000
+    cols = ["day", "store", "product", "name"]
+    spark.range(n).select(
+        F.date_add(F.lit("2024-01-01").cast("date"), (F.xxhash64("id") % 300).cast("int")).alias("day"),
+        F.when(F.col("id") % 3 > 0, (F.xxhash64("id", F.lit(1)) % 200).cast("int")).alias("store"),
+        F.pow(F.rand(5), F.lit(3)).alias("product"),
+        F.concat(F.lit("p"), F.lpad(F.pmod(F.xxhash64("id", F.lit(2)), F.lit(500)).cast("string"), 3, "0")).alias("name"),
+        F.col("id"),
+    ).write.option("parquet.block.size", 4096).parquet(f"{path}/raw")
+    raw_table = spark.read.parquet(f"{path}/raw")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        write_table(raw_table, f"{path}/t", cluster_by=cols, interleave=True)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    stored = spark.read.parquet(f"{path}/t")
+    assert stored.columns == raw_table.columns
+    assert stored.exceptAll(raw_table).isEmpty() and stored.count() == n
+    groups = []
+    for file in glob.glob(f"{path}/t/*.parquet"):
+        meta = pq.ParquetFile(file).metadata
+        groups += [meta.row_group(i) for i in range(meta.num_row_groups)]
+    assert len(groups) >= 16
+    for at, name in enumerate(cols):
+        value = raw_table.filter(F.col(name).isNotNull()).orderBy("id").first()[name]
+        stats = [g.column(at).statistics for g in groups]
+        hit = [s for s in stats if s is not None and s.has_min_max and s.min <= value <= s.max]
+        assert len(hit) < 0.75 * len(groups), name
