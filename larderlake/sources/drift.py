@@ -11,7 +11,6 @@ import json
 from collections import defaultdict
 from collections.abc import Iterable, Iterator, Sequence
 from functools import reduce
-from itertools import islice
 from urllib.parse import unquote
 
 import pyarrow as pa
@@ -21,12 +20,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import DataType, StringType, StructField, StructType
 
-from larderlake.sources.tables import write_table
+from larderlake.streaming.counts import BATCH, write_own
 from larderlake.streaming.runs import run_batches
 
 #: Values that do not fit their column, as JSON of column and text; NULL where all fit.
 RESCUED = "_rescued"
-BATCH = "_batch"
 #: Lines of a file that its types are found from.
 SAMPLE = 1000
 
@@ -43,22 +41,26 @@ _CELL = "file string, line int, position int, name string, value string"
 def sampled_cells(spark: SparkSession, files: Sequence[str], lines: int = 0) -> DataFrame:
     """(file, line, position, name, value): names of the columns of each file, and its first lines' cells.
 
-    Names come as line 0 with a NULL value. One job for all files. A task has one block of one file and
-    stops after the lines asked for; a file without any line gives nothing.
+    Names come as line 0 with a NULL value. One job for all files. A task has one block of one file, and
+    no more than the lines asked for leave the scan; a file without any line gives nothing.
     """
     session = spark.newSession()
     # Files that cost a whole partition to open are not packed together.
     session.conf.set("spark.sql.files.openCostInBytes", spark.conf.get("spark.sql.files.maxPartitionBytes"))
     session.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", lines + 1)
     text = session.read.text(list(files))
-    rows = text.select("_metadata.file_path", F.col("_metadata.file_block_start").alias("at"), "value")
+    # Spark numbers the rows of a task in the lower 33 bits. What goes to Python is read there to its end.
+    number = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    at = F.col("_metadata.file_block_start").alias("at")
+    rows = text.select("_metadata.file_path", at, "value", number.alias("number"))
+    first = rows.filter((F.col("at") == 0) & (F.col("number") <= lines)).select("file_path", "value")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in islice((b for b in batches if b.num_rows), 1):
-            if batch.column(1)[0].as_py() == 0:
-                yield _cells(batch.column(0)[0].as_py(), batch.column(2).to_pylist()[: lines + 1])
+        for batch in batches:
+            if batch.num_rows:
+                yield _cells(batch.column(0)[0].as_py(), batch.column(1).to_pylist())
 
-    return rows.mapInArrow(cut, _CELL)
+    return first.mapInArrow(cut, _CELL)
 
 
 def _cells(file: str, lines: list[str]) -> pa.RecordBatch:
@@ -146,8 +148,8 @@ def _by_files(spark, landing, path, checkpoint, max_files, schema_of) -> Streami
     def handle(batch: DataFrame, batch_id: int) -> None:
         files = [r.path for r in batch.select("path").collect()]
         if files:
-            rows = read_csv_by_name(spark, files, schema_of(files)).withColumn(BATCH, F.lit(batch_id))
-            write_table(rows, path, [BATCH], touched_partitions_only=True)
+            # One partition of the table: the files' splits are its files, and nothing is shuffled.
+            write_own(read_csv_by_name(spark, files, schema_of(files)), path, batch_id)
 
     return run_batches(stream.load(landing).select("path"), handle, checkpoint)
 

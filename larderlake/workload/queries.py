@@ -168,7 +168,8 @@ def s1_csv_stream(spark, sf_dir):
 def s1_csv_drift(spark, sf_dir):
     """Deliveries whose columns are reordered, added, left out and misfit, read by name."""
     root = scratch_dir(spark, "drift")
-    feed = raw(spark, sf_dir, "r_transactions").drop("ingestion_time", "source_file")
+    raw(spark, sf_dir, "r_transactions").drop("ingestion_time", "source_file").write.parquet(f"{root}/feed")
+    feed = spark.read.parquet(f"{root}/feed")
     part = F.pmod(F.col("quantity").cast("int"), F.lit(3))
     odd = F.when(F.col("product_id") % 5 == 0, F.concat(F.lit("x"), "customer_id"))
     deliveries = [
@@ -190,7 +191,9 @@ def s1_csv_drift(spark, sf_dir):
 def s2_found_types(spark, sf_dir):
     """Deliveries without a declared schema: columns turn long, double and text, a new one is a date."""
     root = scratch_dir(spark, "found")
-    feed = raw(spark, sf_dir, "r_transactions").select("product_id", "customer_id", "store_id", "quantity")
+    lines = raw(spark, sf_dir, "r_transactions").select("product_id", "customer_id", "store_id", "quantity")
+    lines.write.parquet(f"{root}/feed")
+    feed = spark.read.parquet(f"{root}/feed")
     part = F.pmod(F.col("product_id").cast("int"), F.lit(3))
     deliveries = [
         feed.filter(part == 0),

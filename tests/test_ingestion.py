@@ -345,3 +345,37 @@ def test_every_interleaved_column_skips_row_groups(spark, path):
         stats = [g.column(at).statistics for g in groups]
         hit = [s for s in stats if s is not None and s.has_min_max and s.min <= value <= s.max]
         assert len(hit) < 0.75 * len(groups), name
+
+
+def test_only_the_lines_asked_for_go_to_python(spark, path):
+    from larderlake.sources.drift import sampled_cells
+
+    spark.range(50_000).selectExpr("id", "id * 2 AS twice").coalesce(1).write.option("header", True).csv(f"{path}/in")
+    files = spark.read.csv(f"{path}/in").inputFiles()
+    cells = sampled_cells(spark, files, 3)
+    steps = cells._jdf.queryExecution().executedPlan().toString().split("MapInArrow", 1)[1]
+    assert "<= 3)" in steps and "Filter" in steps
+    found = sorted((r.line, r.name, r.value) for r in cells.collect())
+    assert found == [(0, "id", None), (0, "twice", None)] + [
+        (i + 1, name, str(v)) for i in range(3) for name, v in (("id", i), ("twice", 2 * i))
+    ]
+
+
+def test_a_delivery_is_stored_without_a_shuffle(spark, path, monkeypatch):
+    from pyspark.sql.types import StructType
+
+    from larderlake.sources import drift
+
+    plans, write = [], drift.write_own
+
+    def watched(rows, *at):
+        plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        write(rows, *at)
+
+    monkeypatch.setattr(drift, "write_own", watched)
+    schema = StructType.fromDDL("a int, b string")
+    for i in range(2):
+        spark.createDataFrame([(i, "x")], "a int, b string").write.option("header", True).csv(f"{path}/in/{i}")
+        drift.ingest_csv_by_name(spark, f"{path}/in/*", f"{path}/t", f"{path}/c", schema)
+    assert len(plans) == 2 and not any("Exchange" in p for p in plans)
+    assert sorted(r.a for r in drift.read_drifted(spark, f"{path}/t").collect()) == [0, 1]
