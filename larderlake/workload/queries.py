@@ -1097,14 +1097,22 @@ def x1_stream_cleanse(spark, sf_dir):
 
 #: Batches of a stream whose counts are added up; Spark by itself remembers the last hundred reports.
 MANY_BATCHES = 101
+#: Lines of a file that a stream is fed with, about; one task writes such a file and one reads it.
+FILE_LINES = 200_000
+
+
+def _files_a_batch(spark, sf_dir, batches: int) -> int:
+    """How many files a batch has where the sales lines come in so many batches."""
+    return 1 + table(spark, sf_dir, "lineitem").count() // (batches * FILE_LINES)
 
 
 @query
 def x6_stream_counts(spark, sf_dir):
     """What rules found in a stream of many batches, from the counts stored with each batch."""
     root = scratch_dir(spark, "counted")
-    raw(spark, sf_dir, "r_transactions").repartition(MANY_BATCHES).write.parquet(f"{root}/bronze")
-    stream = read_table_stream(spark, f"{root}/bronze", max_files=1)
+    files = _files_a_batch(spark, sf_dir, MANY_BATCHES)
+    raw(spark, sf_dir, "r_transactions").repartition(MANY_BATCHES * files).write.parquet(f"{root}/bronze")
+    stream = read_table_stream(spark, f"{root}/bronze", max_files=files)
     lines = silver.cleanse_transactions(stream, ENV).drop("source_file")
     run_checked(lines, _LINE_RULES, f"{root}/silver", checkpoint_dir(root, ENV, "transactions"))
     found = summed(read_counts(spark, f"{root}/silver/counts"))
@@ -1115,8 +1123,9 @@ def x6_stream_counts(spark, sf_dir):
 def e6_stream_quarantine(spark, sf_dir):
     """A stream split by verdict in one pass: accepted and quarantined lines by the rules they break."""
     root = scratch_dir(spark, "checked")
-    raw(spark, sf_dir, "r_transactions").repartition(3, "product_id").write.parquet(f"{root}/bronze")
-    stream = read_table_stream(spark, f"{root}/bronze", max_files=1)
+    files = _files_a_batch(spark, sf_dir, 3)
+    raw(spark, sf_dir, "r_transactions").repartition(3 * files, "product_id").write.parquet(f"{root}/bronze")
+    stream = read_table_stream(spark, f"{root}/bronze", max_files=files)
     lines = silver.cleanse_transactions(stream, ENV).drop("source_file")
     target = f"{root}/silver"
     run_checked(lines, _LINE_RULES, target, checkpoint_dir(root, ENV, "transactions"), ["transaction_year"])

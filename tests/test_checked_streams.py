@@ -144,3 +144,19 @@ def test_minutes_close_and_late_orders_are_set_aside(spark, path):
     found, late = run((11, 1, 1, "10:31:30"))
     assert found == minutes and late == [7, 9]  # 10:31 is still open
     assert os.path.isdir(f"{path}/check/count/state")
+
+
+def test_files_of_a_batch_follow_the_lines(spark, path, monkeypatch):
+    """More lines make more files a batch, not longer ones; batches and counts stay as they are."""
+    from larderlake.workload import queries
+
+    sf = "/root/testdata/sf0.001"
+    monkeypatch.setattr(queries, "scratch_dir", lambda spark, label: f"{path}/{label}")
+    monkeypatch.setattr(queries, "FILE_LINES", 500)
+    lines = spark.read.parquet(f"{sf}/lineitem.parquet").count()
+    found = rows(queries.e6_stream_quarantine(spark, sf))
+    assert sum(r["lines"] for r in found) == lines
+    files = len(spark.read.parquet(f"{path}/checked/bronze").inputFiles())
+    assert files == 3 * (1 + lines // 1500) > 6
+    batches = read_counts(spark, f"{path}/checked/silver/counts").select("_batch").distinct().count()
+    assert batches == 3
