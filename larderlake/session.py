@@ -22,6 +22,10 @@ RUNTIME = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     # Split a hot key even where that costs a later shuffle: one endless task costs more.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Sorts hold some twenty times what a shuffle sent; the default of 64 MB made 1.7 GB of one task.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
+    # What is kept for two writes is merged into fewer partitions as well; each costs its sorts' first pages.
+    "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning": "true",
     # A runtime filter from a small join side prunes the large scan.
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
 }

@@ -280,3 +280,27 @@ def test_closed_versions_are_never_rewritten(spark, path, monkeypatch):
     merge_batch(feed(spark, *late), 2, path, spec)
     assert len(asked) == 1 and second.items() < closed_files().items()
     assert versions(read_history(spark, path)) == expected(old + new + late)
+
+
+def test_what_a_merge_keeps_is_coalesced(spark):
+    """A stage of a merge has dozens of sorts, so each needless partition of the kept rows costs their pages."""
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    kept = scd.scd2_history(feed(spark, *EXAMPLE), **SPEC).persist()
+    try:
+        kept.count()
+        assert kept.rdd.getNumPartitions() < 20
+    finally:
+        kept.unpersist()
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_a_sort_gets_few_megabytes_of_a_shuffle(spark, path):
+    """Partitions are merged up to 16 MB as shuffled, whatever the number of cores."""
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        wide = [F.xxhash64("id", F.lit(i)).alias(f"c{i}") for i in range(4)]
+        rows_in = spark.range(3_000_000).select(F.xxhash64("id").alias("k"), F.xxhash64("id", F.lit(9)).alias("seq"), *wide)
+        scd.unique_sequence(rows_in, ["k"], "seq").write.parquet(path + "/t")
+        assert len(spark.read.parquet(path + "/t").inputFiles()) > 4
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
