@@ -8,16 +8,18 @@ from larderlake.functions.columns import (
     total,
     typed,
 )
-from larderlake.functions.keys import surrogate_key
+from larderlake.functions.keys import packed, surrogate_key, unpacked
 
 __all__ = [
     "DATE_TEXT",
     "conform",
     "date_key",
     "money",
+    "packed",
     "ratio",
     "stock_status",
     "surrogate_key",
     "total",
     "typed",
+    "unpacked",
 ]

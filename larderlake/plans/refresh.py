@@ -214,6 +214,7 @@ def refresh_gold(spark: SparkSession, root: str, years: Sequence[int] | None = N
                 schemas.PARTITIONS.get(table, ()),
                 schemas.CLUSTERING.get(table, ()),
                 touched_partitions_only=only_touched,
+                hashes=schemas.HASHES,
             )
             log.flow(table, seen.get)
 

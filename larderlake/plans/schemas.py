@@ -101,6 +101,8 @@ PARTITIONS = {
     "fact_sales": ["transaction_year", "transaction_month"],
     "fact_returns": ["return_year"],
 }
+#: Columns of facts that hold hashed keys.
+HASHES = ["sale_sk", "return_sk", "product_sk", "customer_sk", "store_sk", "date_sk"]
 CLUSTERING = {
     "dim_date": ["date_key"],
     "dim_region": ["region_id"],

@@ -26,6 +26,8 @@ RUNTIME = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
     # What is kept for two writes is merged into fewer partitions as well; each costs its sorts' first pages.
     "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning": "true",
+    # Half of a fact row is hashes in hexadecimal, which the default does not compress.
+    "spark.sql.parquet.compression.codec": "zstd",
     # A runtime filter from a small join side prunes the large scan.
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
 }

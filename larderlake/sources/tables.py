@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DateType, StringType, TimestampType
 
+from larderlake.functions.keys import packed, unpacked
+
 #: Bits of a column's rank in an interleaved key: 2 to this power ranges a column.
 RANK_BITS = 8
 
@@ -29,6 +33,7 @@ def write_table(
     mode: str = "overwrite",
     touched_partitions_only: bool = False,
     interleave: bool = False,
+    hashes: Sequence[str] = (),
 ) -> None:
     """Write a table laid out for pruning.
 
@@ -43,6 +48,8 @@ def write_table(
     instead, so that a filter on any of them skips row groups. Files then hold ranges of the key, within
     a partition, and many rows with one key are divided by the hash of their other columns. It reads
     ``df`` three times (borders, ranges, rows), which should therefore be a stored table.
+
+    ``hashes`` names text columns that hold MD5 keys, if any: they are packed while rows are rebalanced.
     """
     columns, order = df.columns, [*partition_by, *cluster_by]
     spread = [*partition_by] or [*cluster_by[:1]]
@@ -52,7 +59,10 @@ def write_table(
         df = df.withColumn(key, interleaved(df, cluster_by)).repartitionByRange(*partition_by, key, rest)
         df = df.sortWithinPartitions(*partition_by, key).select(*columns)
     elif spread:
+        hashes = [c for c in hashes if c in columns and c not in order]
+        df = df.withColumns({c: packed(F.col(f"`{c}`")) for c in hashes}) if hashes else df
         df = df.hint("rebalance", *spread).sortWithinPartitions(*order)
+        df = df.withColumns({c: unpacked(F.col(f"`{c}`")) for c in hashes}) if hashes else df
     writer = df.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -66,26 +76,28 @@ def interleaved(df: DataFrame, columns: Sequence[str]) -> Column:
 
     A rank is the number of the range that a value falls in; ranges hold about as many rows each, so
     skewed values take their share of the key and no more. Their borders come from one pass over
-    ``df``, whose result is a list per column. NULL comes first. Seven columns at most.
+    ``df``, whose result is a list per column. NULL comes first. Seven columns at most. Ranks are found by
+    NumPy in Arrow batches: Spark interprets loops over arrays, 64 steps for each row of four columns.
     """
     if len(columns) * RANK_BITS > 62:
         raise ValueError(f"at most {62 // RANK_BITS} columns can be interleaved")
     shares = [i / 2**RANK_BITS for i in range(1, 2**RANK_BITS)]
     places = {c: _place(df, c) for c in columns}
     borders = df.agg(*(F.percentile_approx(p, shares, 20_000).alias(c) for c, p in places.items())).first()
-    ranks = [_rank(place, borders[c]) for c, place in places.items()]
-    # All ranks are made once; bits are taken from the array.
-    bits = F.array(*(F.lit(1 << b) for b in reversed(range(RANK_BITS))))
-
-    def taken(all_ranks: Column) -> Column:
-        def add(key: Column, bit: Column) -> Column:
-            return F.aggregate(
-                all_ranks, key, lambda k, rank: k * 2 + F.when(rank.bitwiseAND(bit) != 0, 1).otherwise(0)
-            )
+    known = [np.array(borders[c] or [], dtype="float64") for c in places]
+    # The bits of a rank, spread to their places in the key of the first column; others lie lower.
+    spread = np.array([sum((r >> b & 1) << b * len(known) for b in range(RANK_BITS)) for r in range(2**RANK_BITS)])
 
-        return F.aggregate(bits, F.lit(0).cast("long"), add)
+    def key(*found: pa.Array) -> pa.Array:
+        total = np.zeros(len(found[0]), dtype="int64")
+        for at, (column, reached) in enumerate(zip(found, known, strict=True)):
+            # How many borders a value has reached; 0 for NULL.
+            rank = np.searchsorted(reached, column.fill_null(0.0).to_numpy(zero_copy_only=False), side="right")
+            rank[column.is_null().to_numpy(zero_copy_only=False)] = 0
+            total |= spread[rank] << (len(known) - 1 - at)
+        return pa.array(total)
 
-    return F.get(F.transform(F.array(F.array(*ranks)), taken), F.lit(0))
+    return F.arrow_udf(key, "long")(*places.values())
 
 
 def _place(df: DataFrame, name: str) -> Column:
@@ -100,15 +112,6 @@ def _place(df: DataFrame, name: str) -> Column:
     return column.cast("int").cast("double") if isinstance(kind, BooleanType) else column.cast("double")
 
 
-def _rank(place: Column, borders: Sequence[float] | None) -> Column:
-    """How many borders a value has reached, by halving; 0 for NULL."""
-    known = F.array(*(F.lit(b) for b in borders or [0.0] * (2**RANK_BITS - 1)))
-    steps = F.array(*(F.lit(1 << b) for b in reversed(range(RANK_BITS))))
-    return F.aggregate(
-        steps, F.lit(0), lambda at, step: at + F.when(F.get(known, at + step - 1) <= place, step).otherwise(0)
-    )
-
-
 def append_table(df: DataFrame, path: str) -> None:
     """Append rows. Later batches may bring new columns: read with ``mergeSchema`` to see them."""
     df.write.mode("append").parquet(path)

@@ -602,13 +602,15 @@ def _delivered_late(spark, sf_dir):
     """Partial sums of sales after a second delivery, of lines of one year for every fifth store."""
     root = scratch_dir(spark, "gold")
     late = (F.col("store_id") % 5 == 0) & (F.col("transaction_year") == 1995)
-    lines, products = inputs.transactions(spark, sf_dir), inputs.products(spark, sf_dir)
+    inputs.transactions(spark, sf_dir).write.parquet(f"{root}/transactions")
+    lines, products = spark.read.parquet(f"{root}/transactions"), inputs.products(spark, sf_dir)
     keys = star(spark, sf_dir, "store", "customer")
     layout = schemas.PARTITIONS["fact_sales"], schemas.CLUSTERING["fact_sales"]
 
     def store(rows: DataFrame, months) -> None:
         built = accepted(facts.fact_sales(rows, products, keys), "fact_sales")
-        write_table(built, f"{root}/fact_sales", *layout, touched_partitions_only=months is not None)
+        touched_only = months is not None
+        write_table(built, f"{root}/fact_sales", *layout, touched_partitions_only=touched_only, hashes=schemas.HASHES)
         stored = spark.read.parquet(f"{root}/fact_sales")
         partials.refresh_partials(spark, stored, f"{root}/sums", months)
 

@@ -1,5 +1,7 @@
 """Lookups, facts and their keys."""
 
+from pyspark.sql import functions as F
+
 from larderlake.operators.dedup import dedup, latest
 from larderlake.operators.joins import lookup_join
 from larderlake.plans import dims, facts
@@ -113,3 +115,36 @@ def test_dedup_keeps_the_smallest(spark):
 def test_latest_breaks_ties(spark):
     df = spark.createDataFrame([(1, 5, "a"), (1, 5, "b"), (1, 4, "z")], "k int, s int, v string")
     assert rows(latest(df, ["k"], ["s"])) == [{"k": 1, "s": 5, "v": "b"}]
+
+
+def test_keys_travel_as_bytes_and_come_back_as_they_were(spark):
+    from larderlake.functions import packed, unpacked
+
+    texts = ["0" * 32, "deadbeef" * 4, "DEADBEEF" * 4, "x" * 32, "", "p1", "é" * 16, "abc", "0" * 16, None]
+    found = spark.createDataFrame([(t,) for t in texts], "t string").select(
+        "t", unpacked(packed(F.col("t"))).alias("back"), F.length(packed(F.col("t"))).alias("n")
+    )
+    for r in found.collect():
+        assert r.back == r.t
+        assert (r.n == 16) == (r.t in ("0" * 32, "deadbeef" * 4))
+
+
+def test_no_key_is_shuffled_as_text(spark, path):
+    """Where nothing is broadcast, and in the sink, keys of lookups go through exchanges packed."""
+    from larderlake.plans import schemas
+    from larderlake.sources import write_table
+    from larderlake.workload.queries import sales
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fact = sales(spark, "/root/testdata/sf0.001", "product", "customer", "store", "date")
+        text = fact._jdf.queryExecution().optimizedPlan().toString()
+        above = text[: text.index("Join")]
+        assert above.count("unhex") == 0 and above.lower().count("hex(") >= 2
+        layout = schemas.PARTITIONS["fact_sales"], schemas.CLUSTERING["fact_sales"]
+        write_table(fact, f"{path}/packed", *layout, hashes=schemas.HASHES)
+        write_table(fact, f"{path}/plain", *layout)
+        a, b = (spark.read.parquet(f"{path}/{p}").drop("gold_loaded_at") for p in ("packed", "plain"))
+        assert a.columns == b.columns and a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
