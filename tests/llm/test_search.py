@@ -46,3 +46,15 @@ def test_awkward_tables(awkward, nothing):
     assert {r["query"] for r in found} == {1, 4, 5, 6, 7}
     assert [r.doc_id for r in sorted(found, key=lambda r: r["rank"]) if r["query"] == 1] == [1, 1, 7]
     assert search.top_k(nothing, awkward).count() == 0 and search.top_k(awkward, nothing).count() == 0
+
+
+def test_tasks_begin_with_scores_that_others_found(spark):
+    """Else each task returns the best k of its own segments for every query."""
+    rnd = random.Random(5)
+    docs = [(i, " ".join(f"w{rnd.randrange(3000)}" for _ in range(40))) for i in range(800)]
+    schema, k, tasks = "doc_id long, text string", 5, 8
+    segments = search.keep(search.index(spark.createDataFrame(docs, schema).repartition(tasks)), "index")
+    asked = search._queries(spark.createDataFrame(docs[::20], schema), "doc_id", "text").collect()
+    assert segments.count() == tasks
+    found = search._run(segments, asked, len(docs), 40.0, k).count()
+    assert len(asked) * k <= found < 2 * len(asked) * k
