@@ -21,6 +21,8 @@ MONTH = ("transaction_year", "transaction_month")
 #: Partial table -> what its rows are told apart by besides the month.
 GRAINS = {"store_month": ("store_id", "store_sk"), "customer_month": ("customer_id", "customer_sk")}
 Months = Iterable[tuple[int, int]]
+#: Lines whose facts are built at once, unless a month has more: about 1.4 GB while it is shuffled.
+LINES_AT_ONCE = 8_000_000
 
 
 def partial_sums(fact: DataFrame, grain: str) -> DataFrame:
@@ -46,6 +48,22 @@ def touched_months(lines: DataFrame) -> list[tuple[int, int]]:
     return sorted((r[0], r[1]) for r in lines.select(*MONTH).distinct().collect())
 
 
+def spans(lines: DataFrame) -> list[list[tuple[int, int]]]:
+    """The months that lines fall into, in runs of at most ``LINES_AT_ONCE`` lines; a larger month is alone.
+
+    Facts that are built run by run need disk for the shuffles of one run, whatever the number of lines.
+    """
+    found: list[list[tuple[int, int]]] = []
+    held = 0
+    for year, month, n in sorted((r[0], r[1], r[2]) for r in lines.groupBy(*MONTH).count().collect()):
+        if not found or held + n > LINES_AT_ONCE:
+            found.append([])
+            held = 0
+        found[-1].append((year, month))
+        held += n
+    return found
+
+
 def refresh_partials(spark: SparkSession, fact: DataFrame, path: str, months: Months | None = None) -> None:
     """Sum the given months anew (default: all) and replace their partitions under ``path``."""
     wanted = fact if months is None else fact.filter(in_months(months))

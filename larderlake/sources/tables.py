@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from larderlake.functions.keys import packed, unpacked
 
 #: Bits of a column's rank in an interleaved key: 2 to this power ranges a column.
 RANK_BITS = 8
+_RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def layer_path(root: str, layer: str, table: str) -> str:
@@ -23,6 +25,17 @@ def read_layer(spark: SparkSession, root: str, layer: str, table: str) -> DataFr
     return spark.read.parquet(layer_path(root, layer, table))
 
 
+@contextmanager
+def _shuffles_released(spark: SparkSession) -> Iterator[None]:
+    """What an execution in here shuffles is deleted as soon as it ends, not when the driver collects garbage."""
+    before = spark.conf.get(_RELEASE, "false")
+    spark.conf.set(_RELEASE, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_RELEASE, before)
+
+
 def write_table(
     df: DataFrame,
     path: str,
@@ -48,6 +61,7 @@ def write_table(
     ``df`` three times (borders, ranges, rows), which should therefore be a stored table.
 
     ``hashes`` names text columns that hold MD5 keys, if any: they are packed while rows are rebalanced.
+    Once the table is written, nothing shuffled for it is left on disk.
     """
     columns, order = df.columns, [*partition_by, *cluster_by]
     spread = [*partition_by] or [*cluster_by[:1]]
@@ -66,7 +80,8 @@ def write_table(
         writer = writer.partitionBy(*partition_by)
     if touched_partitions_only:
         writer = writer.option("partitionOverwriteMode", "dynamic")
-    writer.parquet(path)
+    with _shuffles_released(df.sparkSession):
+        writer.parquet(path)
 
 
 def interleaved(df: DataFrame, columns: Sequence[str]) -> Column:

@@ -602,21 +602,29 @@ def _delivered_late(spark, sf_dir):
     """Partial sums of sales after a second delivery, of lines of one year for every fifth store."""
     root = scratch_dir(spark, "gold")
     late = (F.col("store_id") % 5 == 0) & (F.col("transaction_year") == 1995)
-    inputs.transactions(spark, sf_dir).write.parquet(f"{root}/transactions")
-    lines, products = spark.read.parquet(f"{root}/transactions"), inputs.products(spark, sf_dir)
-    keys = star(spark, sf_dir, "store", "customer")
+
+    def stored(table: str, rows: DataFrame, *by) -> DataFrame:
+        write_table(rows, f"{root}/{table}", *by)
+        return spark.read.parquet(f"{root}/{table}")
+
+    lines = stored("transactions", inputs.transactions(spark, sf_dir), partials.MONTH)
+    found = inputs.products(spark, sf_dir).select("product_id", "product_retail_price", "product_cost", scd.START, scd.END)
+    products = stored("products", found)
+    dimensions = star(spark, sf_dir, "store", "customer").items()
+    keys = {name: stored(f"dim_{name}", d.select(f"{name}_id", f"{name}_sk")) for name, d in dimensions}
     layout = schemas.PARTITIONS["fact_sales"], schemas.CLUSTERING["fact_sales"]
 
-    def store(rows: DataFrame, months) -> None:
-        built = accepted(facts.fact_sales(rows, products, keys), "fact_sales")
-        touched_only = months is not None
-        write_table(built, f"{root}/fact_sales", *layout, touched_partitions_only=touched_only, hashes=schemas.HASHES)
-        stored = spark.read.parquet(f"{root}/fact_sales")
-        partials.refresh_partials(spark, stored, f"{root}/sums", months)
+    def store(rows: DataFrame) -> None:
+        for months in partials.spans(rows):
+            some = rows.filter(partials.in_months(months))
+            built = accepted(facts.fact_sales(some, products, keys), "fact_sales")
+            write_table(built, f"{root}/fact_sales", *layout, touched_partitions_only=True, hashes=schemas.HASHES)
+            fact = spark.read.parquet(f"{root}/fact_sales")
+            partials.refresh_partials(spark, fact, f"{root}/sums", months)
 
-    store(lines.filter(~late), None)
+    store(lines.filter(~late))
     touched = partials.touched_months(lines.filter(late))
-    store(lines.filter(partials.in_months(touched)), touched)
+    store(lines.filter(partials.in_months(touched)))
     return f"{root}/sums"
 
 

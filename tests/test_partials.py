@@ -1,12 +1,15 @@
 """Marts from partial sums of the months that changed."""
 
 import os
+import time
+from datetime import date
 
 from pyspark.sql import functions as F
 
 from larderlake.plans import marts, partials
 from larderlake.sources import write_table
-from larderlake.workload.queries import full_store, sales, star
+from larderlake.workload import queries
+from larderlake.workload.queries import QUERIES, full_store, sales, star
 from tests.conftest import rows
 from tests.test_plans import plan
 
@@ -68,3 +71,52 @@ def test_null_amounts_and_no_lines(spark, path):
     partials.refresh_partials(spark, fact.limit(0), f"{path}/sums", [])
     assert partials.read_partials(spark, f"{path}/sums", "store_month").count() == 2
     assert partials.touched_months(fact.limit(0)) == []
+
+
+def left_on_disk(spark):
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    found = manager.getAllFiles()
+    return {found.apply(i).getName() for i in range(found.size()) if found.apply(i).getName().startswith("shuffle_")}
+
+
+def test_a_written_table_leaves_nothing_shuffled(spark, path):
+    numbers = spark.range(0, 5000, 1, 4).selectExpr("id", "id % 3 month")
+    before = left_on_disk(spark)
+    write_table(numbers.groupBy("month", "id").count(), f"{path}/t", ["month"], ["id"])
+    # Files are deleted in the background.
+    until = time.time() + 20
+    while (kept := left_on_disk(spark) - before) and time.time() < until:
+        time.sleep(0.2)
+    assert not kept
+    assert spark.read.parquet(f"{path}/t").count() == 5000
+
+
+def test_facts_are_built_run_by_run(spark, path, monkeypatch):
+    def table(name, ddl, *values):
+        spark.createDataFrame(list(values), ddl).coalesce(1).write.parquet(f"{path}/{name}.parquet")
+
+    table("region", "r_regionkey int, r_name string", (0, "EAST"))
+    table("nation", "n_nationkey int, n_name string, n_regionkey int", (1, "A", 0))
+    table("customer", "c_custkey int, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string", *((i, "x", 1, 1.0, "S") for i in (1, 2, 3)))
+    table("supplier", "s_suppkey int, s_name string, s_nationkey int, s_acctbal double", *((i, "s", 1, 1.0) for i in (4, 5)))
+    table("part", "p_partkey int, p_name string, p_brand string, p_type string, p_size int, p_retailprice double", (7, "p", "b", "t", 2, 10.0))
+    days = [(1, date(1995, 1, 9)), (2, date(1995, 2, 9)), (3, date(1995, 3, 9)), (4, date(1996, 1, 9)), (5, date(1996, 5, 9))]
+    table("orders", "o_orderkey int, o_custkey int, o_orderdate date", *((i, 1 + i % 3, d) for i, d in days))
+    lines = [(i, 7, 4 + n % 2, float(n + 1), date(1996, 6, 1)) for i, _ in days for n in range(i)]
+    table("lineitem", "l_orderkey int, l_partkey int, l_suppkey int, l_quantity double, l_shipdate date", *lines, *lines[:3])
+
+    monkeypatch.setattr(partials, "LINES_AT_ONCE", 5)
+    written = []
+
+    def recorded(df, to, *args, **kwargs):
+        if to.endswith("/fact_sales"):
+            counts = df.groupBy(*partials.MONTH).count().collect()
+            written.append((len(counts), sum(r["count"] for r in counts)))
+        write_table(df, to, *args, **kwargs)
+
+    monkeypatch.setattr(queries, "write_table", recorded)
+    for name, whole in (("g8_incremental", "g8_executive_overview"), ("g12_incremental", "g12_customer_ltv")):
+        written.clear()
+        found = rows(QUERIES[name](spark, path))
+        assert found and found == rows(QUERIES[whole](spark, path))
+        assert len(written) > 3 and all(n <= 5 or months == 1 for months, n in written)
